@@ -649,8 +649,8 @@ select round(avg(a.ndcg), 9) as mean_a, round(stddev_pop(a.ndcg), 9) as std_a, r
   count(*) filter (where a.ndcg > b.ndcg) as wins_a, count(*) filter (where b.ndcg > a.ndcg) as wins_b,
   count(*) filter (where a.ndcg = b.ndcg) as ties, count(*) as n_units,
   round(case when avg(a.ndcg) > 0 then avg(b.ndcg - a.ndcg) / avg(a.ndcg) * 100 else 0e0 end, 9) as lift_pct
-from list_metrics a join list_metrics b on a.profile = b.profile and a.k = 10 and b.k = 10
-where a.setting = 1 and b.setting = 3"""),
+from (select profile, round(ndcg, 12) as ndcg from list_metrics where k = 10 and setting = 1) a
+join (select profile, round(ndcg, 12) as ndcg from list_metrics where k = 10 and setting = 3) b on a.profile = b.profile"""),
 
     # Explanation
     "explain_rules": _with("hybrid", f"""

@@ -6,10 +6,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.sources.catalog import Catalog
 
+# Declared, so that opening a table starts no job.
+BASE_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, "
+                "l_returnflag string, l_linestatus string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
 
 def derive_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     def base(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def items() -> DataFrame:
         key = F.col("p_partkey")

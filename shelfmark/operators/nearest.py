@@ -31,7 +31,7 @@ _SLACK = 1e-6        # rounding slack of the bounds, far above float error
 
 def _pivots(vectors: DataFrame, wanted: int) -> np.ndarray:
     """Unit vectors of ``wanted`` distinct items, chosen by hash order."""
-    rows = (vectors.where("_norm > 0")
+    rows = (vectors.where(F.exists("embedding", lambda x: x != 0)).select("item_id", "embedding")
             .orderBy(F.xxhash64("item_id"), "item_id").limit(wanted).collect())
     if not rows:
         return np.zeros((0, 0))
@@ -165,10 +165,12 @@ def _score(visits: DataFrame, blocks: DataFrame, seen: DataFrame | None, k: int)
     def best(left_rows, right_rows):
         import numpy as np
         import pandas as pd
-        columns = ["query_id", "item_id", "content_score", "popularity_score",
-                   "penalty", "final_score"]
         if not len(left_rows) or not len(right_rows):
-            return pd.DataFrame({c: [] for c in columns})
+            # Typed like the input, so that an empty string column stays a string column.
+            none = {c: np.zeros(0) for c in (
+                "content_score", "popularity_score", "penalty", "final_score")}
+            return pd.DataFrame({"query_id": left_rows["query_id"].iloc[:0].to_numpy(),
+                                 "item_id": right_rows["item_id"].iloc[:0].to_numpy(), **none})
         right_rows = right_rows.sort_values("item_id", kind="stable")
         ids = right_rows["item_id"].to_numpy()
         matrix = np.stack(right_rows["embedding"].to_numpy())
@@ -230,25 +232,30 @@ def weighted_topk(queries: DataFrame, items: DataFrame, k: int, seen: DataFrame
     Runs a few small jobs to lay out the groups, then returns a lazy result.
     """
     key, query_key = items.schema["item_id"].dataType, queries.schema["query_id"].dataType
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    vectors = cut(items.select("item_id", "embedding", "pop", "pen").withColumn("_norm", norm))
-    n_items = vectors.count()
-    wanted = max(1, min(MAX_PIVOTS, n_items // group_size))
-    pivots = _pivots(vectors, wanted)
-    grouped = cut(_assign(vectors, pivots, key))
+    items = cut(items.select("item_id", "embedding", "pop", "pen"))
+    n_items = items.count()
+    wanted = min(MAX_PIVOTS, n_items // group_size)
+    if wanted <= 1:  # a small catalog is one group: nothing to prune
+        salts = max(1, math.ceil(n_items / ITEM_BLOCK))
+        blocks = items.withColumns({
+            "grp": F.lit(0), "salt": F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int")})
+        visits = cut(queries.select("query_id", "vec", "alpha", "beta", "gamma")).withColumns(
+            {"grp": F.lit(0), "salts": F.lit(salts)})
+        return rank_within(_score(visits, blocks, seen, k), ["query_id"], k)
+
+    pivots = _pivots(items, wanted)
+    grouped = cut(_assign(items, pivots, key))
     bounds = grouped.groupBy("grp").agg(
         F.count("*").alias("n"), F.max("angle").alias("angle"),
         F.max("pop").alias("pop"), F.min("pen").alias("pen")).collect()
     plan = _bounds(pivots, bounds)
     salts = F.create_map(*[x for g, s in zip(plan.group.tolist(), plan.salts.tolist())
-                           for x in (F.lit(g), F.lit(s))]) if bounds else None
-    blocks = grouped.withColumn("salt", F.lit(0) if salts is None else F.pmod(
+                           for x in (F.lit(g), F.lit(s))])
+    blocks = grouped.withColumn("salt", F.pmod(
         F.xxhash64("item_id"), salts[F.col("grp")]).cast("int")).drop("angle")
 
     queries = cut(queries)
     first = cut(_score(_visits(queries, plan, k, 1, query_key), blocks, seen, k))
-    if len(plan.group) <= 1:
-        return rank_within(first, ["query_id"], k)
     floors = rank_within(first, ["query_id"], k).where(F.col("rank") == k).select(
         "query_id", (F.col("final_score") - F.lit(_SLACK)).alias("floor"))
     second = _score(_visits(queries.join(floors, "query_id", "left"), plan, k, 2, query_key),

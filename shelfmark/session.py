@@ -32,10 +32,12 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage.
+    """Store ``df`` as a Parquet table in the shared folder and go on from the stored rows.
 
-    Used where one result feeds several jobs: the input is then scanned once, and a lost
-    executor costs a re-read of the checkpoint instead of a recomputation.
+    Used where one result feeds several jobs: its input is scanned once, a lost executor
+    costs a re-read instead of a recomputation, later steps read only the columns they need,
+    and the file sizes tell Spark when a join side is small enough to broadcast.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = run_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
