@@ -25,6 +25,7 @@ from shelfmark.session import cut
 MAX_PIVOTS = 512
 ITEM_BLOCK = 4096
 QUERY_CHUNK = 8192
+MAX_TASKS = 50_000
 DIGITS = 9           # scores are ranked as reported: rounded, ties by item id
 _SLACK = 1e-6        # rounding slack of the bounds, far above float error
 
@@ -120,34 +121,37 @@ def _visits(queries: DataFrame, plan: SimpleNamespace, k: int, phase: int, key:
                 floor = batch["floor"].to_numpy(dtype=float)
                 floor = np.where(np.isnan(floor), -np.inf, floor)[:, None]
                 take = ~first & (bound >= floor)
-            row, col = np.nonzero(take)
-            yield pd.DataFrame({
-                "query_id": batch["query_id"].to_numpy()[row],
-                "vec": batch["vec"].to_numpy()[row],
-                "alpha": batch["alpha"].to_numpy()[row], "beta": batch["beta"].to_numpy()[row],
-                "gamma": batch["gamma"].to_numpy()[row],
-                "grp": p.group[col].astype("int32"), "salts": p.salts[col].astype("int32")})
+            yield batch[list(passed)].assign(grps=[p.group[t].astype("int32") for t in take])
 
+    passed = ("query_id", "vec", "alpha", "beta", "gamma")
     schema = T.StructType([
-        T.StructField("query_id", key), T.StructField("vec", T.ArrayType(T.DoubleType())),
-        T.StructField("alpha", T.DoubleType()), T.StructField("beta", T.DoubleType()),
-        T.StructField("gamma", T.DoubleType()), T.StructField("grp", T.IntegerType()),
-        T.StructField("salts", T.IntegerType())])
-    wanted = ["query_id", "vec", "alpha", "beta", "gamma"] + (["floor"] if phase == 2 else [])
-    return queries.select(*wanted).mapInPandas(choose, schema)
+        T.StructField("query_id", key), T.StructField("vec", T.ArrayType(T.DoubleType()))] + [
+        T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma")] + [
+        T.StructField("grps", T.ArrayType(T.IntegerType()))])
+    wanted = [*passed, "floor"] if phase == 2 else list(passed)
+    # One row per query crosses to Python and back; the groups are unfolded in the JVM.
+    chosen = queries.select(*wanted).mapInPandas(choose, schema)
+    return chosen.select(*passed, F.explode("grps").alias("grp"))
 
 
-def _score(visits: DataFrame, blocks: DataFrame, seen: DataFrame | None, k: int) -> DataFrame:
+def _score(visits: DataFrame, blocks: DataFrame, salts: dict[int, int],
+           seen: DataFrame | None, k: int) -> DataFrame:
     """Best k unseen items of each visited block for each query."""
     # Chunks per group follow the number of queries that visit it: a few hundred rows.
-    load = {r["grp"]: r["count"] for r in visits.groupBy("grp").count().collect()}
-    chunks = F.create_map(*[x for g, n in load.items() for x in (
-        F.lit(g), F.lit(max(1, math.ceil(n / QUERY_CHUNK))))]) if load else None
+    load = {r["grp"]: math.ceil(r["count"] / QUERY_CHUNK)
+            for r in visits.groupBy("grp").count().collect()}
+    chunks = F.create_map(*[x for g, n in load.items() for x in (F.lit(g), F.lit(n))]) \
+        if load else None
+    # A cell (block x chunk) is a bounded piece of computing, however few bytes it has, so
+    # the number of tasks follows the cells.
+    tasks = max(1, min(MAX_TASKS, sum(n * salts[g] for g, n in load.items())))
 
     def n_chunks(grp):
         return F.lit(1) if chunks is None else F.coalesce(chunks[grp], F.lit(0))
 
-    left = visits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))) \
+    salt_of = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])
+    left = visits.withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), salt_of[F.col("grp")] - 1))) \
         .withColumn("chunk", F.pmod(F.xxhash64("query_id"), n_chunks(F.col("grp"))).cast("int"))
     if seen is not None:
         # What a query must not get back, looked up per block: never longer than the block.
@@ -209,7 +213,9 @@ def _score(visits: DataFrame, blocks: DataFrame, seen: DataFrame | None, k: int)
         T.StructField(c, T.DoubleType())
         for c in ("content_score", "popularity_score", "penalty", "final_score")])
     keys = ["grp", "salt", "chunk"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(best, schema)
+    return (left.repartition(tasks, *keys).groupBy(*keys)
+            .cogroup(right.repartition(tasks, *keys).groupBy(*keys))
+            .applyInPandas(best, schema))
 
 
 def rank_within(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -239,9 +245,9 @@ def weighted_topk(queries: DataFrame, items: DataFrame, k: int, seen: DataFrame
         salts = max(1, math.ceil(n_items / ITEM_BLOCK))
         blocks = items.withColumns({
             "grp": F.lit(0), "salt": F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int")})
-        visits = cut(queries.select("query_id", "vec", "alpha", "beta", "gamma")).withColumns(
-            {"grp": F.lit(0), "salts": F.lit(salts)})
-        return rank_within(_score(visits, blocks, seen, k), ["query_id"], k)
+        visits = cut(queries.select("query_id", "vec", "alpha", "beta", "gamma")).withColumn(
+            "grp", F.lit(0))
+        return rank_within(_score(visits, blocks, {0: salts}, seen, k), ["query_id"], k)
 
     pivots = _pivots(items, wanted)
     grouped = cut(_assign(items, pivots, key))
@@ -249,15 +255,15 @@ def weighted_topk(queries: DataFrame, items: DataFrame, k: int, seen: DataFrame
         F.count("*").alias("n"), F.max("angle").alias("angle"),
         F.max("pop").alias("pop"), F.min("pen").alias("pen")).collect()
     plan = _bounds(pivots, bounds)
-    salts = F.create_map(*[x for g, s in zip(plan.group.tolist(), plan.salts.tolist())
-                           for x in (F.lit(g), F.lit(s))])
+    salts = dict(zip(plan.group.tolist(), plan.salts.tolist()))
+    salt_of = F.create_map(*[F.lit(x) for pair in salts.items() for x in pair])
     blocks = grouped.withColumn("salt", F.pmod(
-        F.xxhash64("item_id"), salts[F.col("grp")]).cast("int")).drop("angle")
+        F.xxhash64("item_id"), salt_of[F.col("grp")]).cast("int")).drop("angle")
 
     queries = cut(queries)
-    first = cut(_score(_visits(queries, plan, k, 1, query_key), blocks, seen, k))
+    first = cut(_score(_visits(queries, plan, k, 1, query_key), blocks, salts, seen, k))
     floors = rank_within(first, ["query_id"], k).where(F.col("rank") == k).select(
         "query_id", (F.col("final_score") - F.lit(_SLACK)).alias("floor"))
     second = _score(_visits(queries.join(floors, "query_id", "left"), plan, k, 2, query_key),
-                    blocks, seen, k)
+                    blocks, salts, seen, k)
     return rank_within(first.unionAll(second), ["query_id"], k)

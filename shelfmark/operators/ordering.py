@@ -10,23 +10,30 @@ from shelfmark.session import cut
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str],
-                  accuracy: int = 50_000) -> dict[str, float | None]:
+                  accuracy: int = 100_000) -> dict[str, float | None]:
     """Exact (interpolating) median of the non-null values of each column.
 
-    Runs two jobs. The first brackets each median with approximate percentiles whose rank
-    error is known; the second counts what lies below the bracket and groups the few values
-    inside it, so a hot value is one row and the final window sees only the bracket.
+    The first job brackets each median with approximate percentiles whose rank error is at
+    most n / accuracy. While that is below half a rank (n <= accuracy / 4) the bracket is the
+    answer. Otherwise a second job counts what lies below the bracket and groups the few
+    values inside it, so a hot value is one row and the final window sees only the bracket.
     """
     step = 2.0 / accuracy
     first = df.agg(*[
         F.struct(
             F.count(c).alias("n"),
-            F.percentile_approx(F.col(c).cast("double"), [0.5 - step, 0.5 + step], accuracy)
+            F.percentile_approx(F.col(c).cast("double"), [0.5 - step, 0.5, 0.5 + step], accuracy)
             .alias("b")).alias(c)
         for c in columns]).first()
-    bounds = {c: (first[c]["b"][0], first[c]["b"][1], first[c]["n"])
-              for c in columns if first[c]["n"]}
     medians: dict[str, float | None] = dict.fromkeys(columns)
+    bounds = {}
+    for c in columns:
+        n = first[c]["n"]
+        if n and n * step <= 0.5:
+            low, high = first[c]["b"][1], first[c]["b"][1 if n % 2 else 2]
+            medians[c] = (low + high) / 2
+        elif n:
+            bounds[c] = (first[c]["b"][0], first[c]["b"][2], n)
     if not bounds:
         return medians
 
