@@ -44,7 +44,7 @@ TABLES: dict[str, T.StructType] = {
 DIAGNOSTICS: dict[str, T.StructType] = {
     "quality_gaps": _schema(
         ("item_id", _L, False), ("title", _S, False),
-        ("missing_issues", T.ArrayType(_S, False), False),
+        ("missing_issues", T.ArrayType(_S), False),
         ("data_confidence_score", _I, False), ("popularity_score", T.FloatType(), False)),
     "duplicate_groups": _schema(
         ("group_key", _S, False), ("suggested_review", _S, False), ("status", _S, False),

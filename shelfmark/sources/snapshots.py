@@ -13,6 +13,9 @@ from shelfmark.schemas import DIAGNOSTIC_DEFAULTS, DIAGNOSTIC_KEYS, DIAGNOSTICS
 _SUMMARY = ("table_name string, row_count bigint, column_names array<string>, path string, "
             "error string")
 
+# Quotes are doubled, as other CSV readers expect; a quoted empty field is an empty string.
+_CSV = {"header": True, "escape": '"'}
+
 
 def ensure_schema(spark: SparkSession, database: str) -> None:
     """Create the target database of ``saveAsTable`` writes if it is missing."""
@@ -73,8 +76,7 @@ def take_snapshot(spark: SparkSession, diagnostics_root: str, snapshot_root: str
         path = f"{snapshot_root}/{name}/snapshot_id={snapshot_id}"
         try:
             table = spark.read.parquet(f"{diagnostics_root}/{name}")
-            flatten(table).write.mode("overwrite").option("header", True) \
-                .option("emptyValue", "").csv(path)
+            flatten(table).write.mode("overwrite").options(**_CSV).csv(path)
             summary.append((name, table.count(), table.columns, path, None))
         except AnalysisException as error:
             summary.append((name, 0, None, None, error.getCondition() or str(error)))
@@ -89,8 +91,7 @@ def read_snapshot(spark: SparkSession, snapshot_root: str, name: str,
     """One table of a snapshot, or None when the snapshot does not hold it."""
     path = f"{snapshot_root}/{name}/snapshot_id={snapshot_id}"
     try:
-        return spark.read.schema(_csv_schema(name)).option("header", True) \
-            .option("nullValue", "\0").option("emptyValue", "").csv(path)
+        return spark.read.schema(_csv_schema(name)).options(multiLine=True, **_CSV).csv(path)
     except AnalysisException:
         return None
 
