@@ -13,8 +13,10 @@ from shelfmark.schemas import DIAGNOSTIC_DEFAULTS, DIAGNOSTIC_KEYS, DIAGNOSTICS
 _SUMMARY = ("table_name string, row_count bigint, column_names array<string>, path string, "
             "error string")
 
-# Quotes are doubled, as other CSV readers expect; a quoted empty field is an empty string.
+# Quotes are doubled, as other CSV readers expect. An empty string is written as a quoted empty
+# field and a null as nothing; reading keeps them apart by a null marker that is never written.
 _CSV = {"header": True, "escape": '"'}
+_CSV_READ = {**_CSV, "multiLine": True, "nullValue": "\0"}
 
 
 def ensure_schema(spark: SparkSession, database: str) -> None:
@@ -91,7 +93,7 @@ def read_snapshot(spark: SparkSession, snapshot_root: str, name: str,
     """One table of a snapshot, or None when the snapshot does not hold it."""
     path = f"{snapshot_root}/{name}/snapshot_id={snapshot_id}"
     try:
-        return spark.read.schema(_csv_schema(name)).options(multiLine=True, **_CSV).csv(path)
+        return spark.read.schema(_csv_schema(name)).options(**_CSV_READ).csv(path)
     except AnalysisException:
         return None
 
