@@ -74,7 +74,6 @@ def _profile_lists(c: Catalog, k: int = 20):
 def _hybrid(c: Catalog, k: int, **options):
     scored = pf.build_scored(c)
     _, vectors = pf.build_content_model(c)
-    vectors = cut(vectors)
     return rc.recommend_hybrid(c.user_likes, scored, vectors, k=k, **options), scored, vectors
 
 
@@ -415,7 +414,6 @@ def similar_items(c):
 @registered
 def liked_profile_scores(c):
     _, vectors = pf.build_content_model(c)
-    vectors = cut(vectors)
     profiles = rc.user_profiles(c.user_likes, vectors)
     pairs = c.user_exclusions  # items the user knows but did not like
     return rc.liked_profile_scores(profiles, pairs, vectors)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfmark.functions.vectors import vector_sum
 from shelfmark.operators.features import vocabulary
+from shelfmark.session import cut
 
 # d x d doubles on the driver: 128 MB at this limit.
 MAX_VOCABULARY = 4_096
@@ -114,7 +115,7 @@ def content_model(items: DataFrame, features: DataFrame,
     """Fit the SVD and embed all items: the model and ``(item_id, embedding)``."""
     names = feature_list(features)
     known = features.join(items.select("item_id"), "item_id", "left_semi")
-    sets = feature_sets(known, names)
+    sets = cut(feature_sets(known, names))  # read by the fit and by the projection
     model = fit_svd(sets, names, n_components)
     return model, embed(items, sets, model)
 

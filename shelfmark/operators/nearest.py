@@ -89,8 +89,9 @@ def _bounds(pivots: np.ndarray, rows: list) -> SimpleNamespace:
 
 
 def _visits(queries: DataFrame, plan: SimpleNamespace, k: int, phase: int, key: T.DataType) -> DataFrame:
-    """(query, group) rows to visit: phase 1 the most promising groups, phase 2 the rest
-    that can still reach ``floor``, the k-th best score of phase 1 (null if there is none)."""
+    """Queries with the array ``grps`` of groups to visit: in phase 1 the most promising ones,
+    in phase 2 the rest that can still reach ``floor``, the k-th best score of phase 1 (null if
+    there is none). Stored, one row per query: the bounds are computed once."""
     shared = queries.sparkSession.sparkContext.broadcast(plan)
 
     def choose(batches):
@@ -129,14 +130,16 @@ def _visits(queries: DataFrame, plan: SimpleNamespace, k: int, phase: int, key:
         T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma")] + [
         T.StructField("grps", T.ArrayType(T.IntegerType()))])
     wanted = [*passed, "floor"] if phase == 2 else list(passed)
-    # One row per query crosses to Python and back; the groups are unfolded in the JVM.
-    chosen = queries.select(*wanted).mapInPandas(choose, schema)
-    return chosen.select(*passed, F.explode("grps").alias("grp"))
+    return cut(queries.select(*wanted).mapInPandas(choose, schema))
 
 
 def _score(visits: DataFrame, blocks: DataFrame, salts: dict[int, int],
            seen: DataFrame | None, k: int) -> DataFrame:
-    """Best k unseen items of each visited block for each query."""
+    """Best k unseen items of each visited block for each query.
+
+    ``seen`` holds, per query and block, the array of items not to return.
+    """
+    visits = visits.withColumn("grp", F.explode("grps")).drop("grps")
     # Chunks per group follow the number of queries that visit it: a few hundred rows.
     load = {r["grp"]: math.ceil(r["count"] / QUERY_CHUNK)
             for r in visits.groupBy("grp").count().collect()}
@@ -154,10 +157,7 @@ def _score(visits: DataFrame, blocks: DataFrame, salts: dict[int, int],
         "salt", F.explode(F.sequence(F.lit(0), salt_of[F.col("grp")] - 1))) \
         .withColumn("chunk", F.pmod(F.xxhash64("query_id"), n_chunks(F.col("grp"))).cast("int"))
     if seen is not None:
-        # What a query must not get back, looked up per block: never longer than the block.
-        known = seen.join(blocks.select("item_id", "grp", "salt"), "item_id").groupBy(
-            "query_id", "grp", "salt").agg(F.collect_set("item_id").alias("seen"))
-        left = left.join(known, ["query_id", "grp", "salt"], "left")
+        left = left.join(seen, ["query_id", "grp", "salt"], "left")
     else:
         left = left.withColumn("seen", F.lit(None).cast(
             T.ArrayType(blocks.schema["item_id"].dataType)))
@@ -218,6 +218,17 @@ def _score(visits: DataFrame, blocks: DataFrame, salts: dict[int, int],
             .applyInPandas(best, schema))
 
 
+def _seen_by_block(seen: DataFrame | None, blocks: DataFrame) -> DataFrame | None:
+    """What a query must not get back, per block, so that no array is longer than a block.
+
+    Stored, because both phases use it.
+    """
+    if seen is None:
+        return None
+    return cut(seen.join(blocks.select("item_id", "grp", "salt"), "item_id").groupBy(
+        "query_id", "grp", "salt").agg(F.collect_set("item_id").alias("seen")))
+
+
 def rank_within(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Keep the k best rows per key by rounded score, ties by item id, with ``rank`` from 1.
 
@@ -246,8 +257,9 @@ def weighted_topk(queries: DataFrame, items: DataFrame, k: int, seen: DataFrame
         blocks = items.withColumns({
             "grp": F.lit(0), "salt": F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int")})
         visits = cut(queries.select("query_id", "vec", "alpha", "beta", "gamma")).withColumn(
-            "grp", F.lit(0))
-        return rank_within(_score(visits, blocks, {0: salts}, seen, k), ["query_id"], k)
+            "grps", F.array(F.lit(0)))
+        return rank_within(_score(visits, blocks, {0: salts}, _seen_by_block(seen, blocks), k),
+                           ["query_id"], k)
 
     pivots = _pivots(items, wanted)
     grouped = cut(_assign(items, pivots, key))
@@ -260,10 +272,11 @@ def weighted_topk(queries: DataFrame, items: DataFrame, k: int, seen: DataFrame
     blocks = grouped.withColumn("salt", F.pmod(
         F.xxhash64("item_id"), salt_of[F.col("grp")]).cast("int")).drop("angle")
 
-    queries = cut(queries)
-    first = cut(_score(_visits(queries, plan, k, 1, query_key), blocks, salts, seen, k))
+    seen = _seen_by_block(seen, blocks)
+    visits = _visits(queries, plan, k, 1, query_key)
+    first = cut(_score(visits, blocks, salts, seen, k))
     floors = rank_within(first, ["query_id"], k).where(F.col("rank") == k).select(
         "query_id", (F.col("final_score") - F.lit(_SLACK)).alias("floor"))
-    second = _score(_visits(queries.join(floors, "query_id", "left"), plan, k, 2, query_key),
-                    blocks, salts, seen, k)
+    rest = _visits(visits.join(floors, "query_id", "left"), plan, k, 2, query_key)
+    second = _score(rest, blocks, salts, seen, k)
     return rank_within(first.unionAll(second), ["query_id"], k)

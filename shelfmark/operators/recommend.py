@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from shelfmark.functions.vectors import cosine, vector_mean
 from shelfmark.operators.nearest import DIGITS, rank_within, weighted_topk
 from shelfmark.operators.ordering import with_global_rank
+from shelfmark.session import cut
 
 Weights = tuple[float, float, float]
 DEFAULT_WEIGHTS: Weights = (0.5, 0.4, 0.1)  # content, popularity, confidence penalty
@@ -90,7 +91,7 @@ def recommend_hybrid(likes: DataFrame, scored: DataFrame, vectors: DataFrame,
     Liked and excluded items are left out. Users without a known like are not in the result:
     see ``recommend_cold_start``. Excluded pairs of other users are ignored.
     """
-    known = known_likes(likes, scored)
+    known = cut(known_likes(likes, scored))
     profiles = user_profiles(known, vectors)
     key = F.concat_ws(":", F.col("s.setting").cast("string"), F.col("user_id").cast("string"))
     queries = profiles.select("user_id", "vec", _settings(settings).alias("s")).select(
@@ -98,7 +99,7 @@ def recommend_hybrid(likes: DataFrame, scored: DataFrame, vectors: DataFrame,
     seen = known
     if excluded is not None:
         seen = seen.unionByName(excluded.select("user_id", "item_id")
-                                .join(profiles.select("user_id"), "user_id", "left_semi"))
+                                .join(known.select("user_id"), "user_id", "left_semi"))
     seen = seen.distinct().select("item_id", "user_id", _settings(settings).alias("s")).select(
         key.alias("query_id"), "item_id")
     ranked = weighted_topk(queries, _scored_items(scored, vectors), k, seen, group_size)

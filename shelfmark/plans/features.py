@@ -22,8 +22,9 @@ def build_binary(catalog: Catalog) -> DataFrame:
 
 
 def build_content_model(catalog: Catalog, n_components: int = 100):
-    """The SVD model and the item embeddings."""
-    return em.content_model(catalog.items, build_binary(catalog), n_components)
+    """The SVD model and the stored table of item embeddings."""
+    model, vectors = em.content_model(catalog.items, build_binary(catalog), n_components)
+    return model, cut(vectors)
 
 
 def ranker_matrix(catalog: Catalog, scored: DataFrame, features: DataFrame,
