@@ -64,20 +64,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str],
 def with_global_rank(df: DataFrame, order: Sequence[Column], name: str = "global_rank") -> DataFrame:
     """Row number over the whole frame (from 1) without a single-partition window.
 
-    The frame is range-partitioned on the order, written once, and each partition's rows are
-    numbered from the partition's offset; only the partition sizes reach the driver. ``order``
-    must be total, so that no two rows compare equal and ranges stay balanced.
+    The frame is range-partitioned and sorted, and each row stored with its partition and its
+    position in it (the two halves of ``monotonically_increasing_id``). Adding the sizes of
+    the earlier partitions, the only thing to reach the driver, gives the global position.
+    ``order`` must be total, so that no two rows compare equal and ranges stay balanced.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                 .withColumn("_at", F.monotonically_increasing_id()))
+    part, position = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = {r["part"]: r["count"]
+             for r in placed.groupBy(part.alias("part")).count().collect()}
     offsets, total = [], 0
-    for part in sorted(sizes):
-        offsets += [F.lit(part), F.lit(total)]
-        total += sizes[part]
-    if not offsets:
-        return placed.drop("_part").withColumn(name, F.lit(0).cast("bigint"))
-    within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
-    return placed.withColumn(
-        name, (within + F.create_map(*offsets)[F.col("_part")]).cast("bigint")).drop("_part")
+    for number in sorted(sizes):
+        offsets += [F.lit(number), F.lit(total)]
+        total += sizes[number]
+    offset = F.create_map(*offsets)[part] if offsets else F.lit(0)
+    return placed.withColumn(name, (position + offset + 1).cast("bigint")).drop("_at")

@@ -169,11 +169,15 @@ def recommend_cold_start(users: DataFrame, scored: DataFrame, k: int = 20,
     # An exclusion matters while fewer than k kept items rank above it.
     relevant = counted.where(F.col("global_rank") - F.col("nth") < k).select(
         "user_id", "global_rank", "nth")
+    relevant = cut(relevant)
     reach = relevant.groupBy("user_id").agg((F.max("nth") + k).alias("reach"))
     slots = reach.select(
         "user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("reach")))
         .alias("global_rank")).join(relevant, ["user_id", "global_rank"], "left_anti")
-    mine = slots.join(ranked, "global_rank").withColumn(
+    # Every user needs the first ranks; the items down to the deepest cut-off are usually few
+    # enough to broadcast, and the skew of the low ranks is split otherwise.
+    deepest = reach.agg(F.max("reach")).scalar()
+    mine = slots.join(ranked.where(F.col("global_rank") <= deepest), "global_rank").withColumn(
         "rank", F.row_number().over(W.partitionBy("user_id").orderBy("global_rank"))) \
         .where(F.col("rank") <= k)
     return shared_list(users.join(reach, "user_id", "left_anti")).unionByName(

@@ -9,9 +9,10 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g")

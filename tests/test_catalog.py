@@ -192,3 +192,10 @@ def test_external_match_limit_is_a_total_order(spark):
                                      "confidence_score int, status string, matched_by string")
     got = dg.external_matches(df, 70, 12).collect()
     assert [r["confidence_score"] for r in got] == [71] * 10 + [70] * 2
+
+
+def test_managed_tables(spark):
+    sn.ensure_schema(spark, "diagnostics_test")
+    spark.range(3).write.mode("overwrite").saveAsTable("diagnostics_test.numbers")
+    rows = sn.table_summary(spark, "diagnostics_test").collect()
+    assert [(r["table_name"], r["row_count"]) for r in rows] == [("numbers", 3)]

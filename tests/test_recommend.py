@@ -155,8 +155,9 @@ def mmr_loop(rows, vectors, k, lam):
     return [c[0] for c in chosen]
 
 
-@pytest.mark.parametrize("lam", [0.0, 0.5, 1.0])
-def test_mmr(spark, lam):
+@pytest.mark.parametrize("lam,limit", [(0.0, 1000), (0.5, 1000), (1.0, 1000), (0.5, 3)])
+def test_mmr(spark, monkeypatch, lam, limit):
+    monkeypatch.setattr(rr, "LIST_LIMIT", limit)
     vectors = {i: RNG.normal(size=3) if i % 5 else np.zeros(3) for i in range(30)}
     lists = {}
     for user in range(6):
