@@ -43,7 +43,8 @@ def feature_sets(features: DataFrame, names: list[tuple[str, str]]) -> DataFrame
     index = features.sparkSession.createDataFrame(
         [(kind, feature, i) for i, (kind, feature) in enumerate(names)],
         "kind string, feature string, idx int")
-    return features.join(index, ["kind", "feature"]).groupBy("item_id").agg(
+    # The index has at most MAX_VOCABULARY rows, so the features need no shuffle by name.
+    return features.join(F.broadcast(index), ["kind", "feature"]).groupBy("item_id").agg(
         F.sort_array(F.collect_set("idx")).alias("idxs"))
 
 

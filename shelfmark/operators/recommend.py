@@ -194,25 +194,29 @@ def recommend_users(users: DataFrame, likes: DataFrame, scored: DataFrame, vecto
     return warm.unionByName(recommend_cold_start(cold, scored, k, excluded))
 
 
-def matchable(features: DataFrame) -> DataFrame:
-    """(item_id, feature) rows a profile tag can match: tags, and platforms whose id is not
-    also a tag."""
-    tags = features.where("kind = 'tag'")
-    platforms = features.where("kind = 'platform'").join(
-        tags.select("feature").distinct(), "feature", "left_anti")
-    return tags.select("item_id", "feature").unionAll(platforms.select("item_id", "feature"))
-
-
-def profile_matches(profiles: DataFrame, features: DataFrame) -> DataFrame:
-    """Items that have at least one tag of a profile, with the number of matched tags."""
-    wanted = profiles.select("profile", F.col("tag_id").alias("feature")).distinct()
-    return matchable(features).join(wanted, "feature").groupBy("profile", "item_id").agg(
+def known_profile_tags(profiles: DataFrame, features: DataFrame) -> DataFrame:
+    """(profile, kind, feature) rows for the profile tags that exist in the catalog.
+
+    A name that is both a tag and a platform means the tag. Both steps are stored: they have at
+    most one row per profile tag, and the file sizes let Spark broadcast them to the scans of
+    the features instead of shuffling those by a possibly hot tag.
+    """
+    wanted = cut(profiles.select("profile", F.col("tag_id").alias("feature")).distinct())
+    known = features.join(wanted.select("feature"), "feature", "left_semi").groupBy(
+        "feature").agg(F.max("kind").alias("kind"))  # 'tag' sorts after 'platform'
+    return cut(wanted.join(known, "feature").select("profile", "kind", "feature"))
+
+
+def profile_matches(known: DataFrame, features: DataFrame) -> DataFrame:
+    """Items that have at least one known tag of a profile, with the number of them."""
+    return features.join(known, ["kind", "feature"]).groupBy("profile", "item_id").agg(
         F.count("*").alias("matched"))
 
 
 def profile_relevant(profiles: DataFrame, features: DataFrame) -> DataFrame:
     """Relevant set of a profile: every item with any of its tags."""
-    return profile_matches(profiles, features).select("profile", "item_id")
+    return profile_matches(known_profile_tags(profiles, features), features).select(
+        "profile", "item_id")
 
 
 def recommend_profile(profiles: DataFrame, features: DataFrame, scored: DataFrame,
@@ -225,9 +229,8 @@ def recommend_profile(profiles: DataFrame, features: DataFrame, scored: DataFram
     is never paired with the profiles. A profile without any known tag gets the popularity
     order. Weights must not be negative.
     """
-    wanted = profiles.select("profile", F.col("tag_id").alias("feature")).distinct()
-    present = (matchable(features).select("feature").distinct().join(wanted, "feature")
-               .groupBy("profile").agg(F.count("*").alias("present")))
+    known = known_profile_tags(profiles, features)
+    present = known.groupBy("profile").agg(F.count("*").alias("present"))
     base = scored.select("item_id", "popularity_score", _penalty().alias("pen"))
 
     def weighted(df: DataFrame, content: Column) -> DataFrame:
@@ -240,7 +243,7 @@ def recommend_profile(profiles: DataFrame, features: DataFrame, scored: DataFram
             content.alias("content_score"), "popularity_score",
             penalty.alias("confidence_penalty"))
 
-    matches = profile_matches(profiles, features)
+    matches = cut(profile_matches(known, features))  # ranked, and left out of the rest
     matched = weighted(matches.join(present, "profile").join(base, "item_id"),
                        F.col("matched") / F.col("present"))
     # The k best items by the score without content, per setting: k x settings rows.
@@ -250,7 +253,7 @@ def recommend_profile(profiles: DataFrame, features: DataFrame, scored: DataFram
         "profile", "x.*").join(matches, ["profile", "item_id"], "left_anti")
     ranked = rank_within(matched.unionByName(unmatched), ["setting", "profile"], k)
 
-    unknown = wanted.select("profile").distinct().join(present, "profile", "left_anti")
+    unknown = profiles.select("profile").distinct().join(known, "profile", "left_anti")
     n = F.array(*[F.lit(i) for i in range(len(settings))])
     cold = unknown.select("profile", F.explode(n).alias("setting")).select(
         "setting", "profile", F.posexplode(_top_by_popularity(scored, k)).alias("p", "x"))

@@ -18,7 +18,9 @@ QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 @pytest.fixture(scope="module")
 def results(spark):
     def run(name):
-        return compare.spark_rows(QUERIES[name](spark, SF_DIR))
+        df = QUERIES[name](spark, SF_DIR)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return (*compare.spark_rows(df), plan)
 
     with ThreadPoolExecutor(6) as pool:
         yield {name: pool.submit(run, name) for name in QUERIES}
@@ -35,7 +37,8 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(name, results, duck):
-    columns, rows = results[name].result()
+    columns, rows, plan = results[name].result()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name not in ORACLES:
         assert rows
         return
