@@ -257,13 +257,13 @@ select item_id, title, missing_issues, data_confidence_score,
   round(cast(cast(popularity_score as float) as double), 6) as popularity_score
 from gaps where missing_issues <> ''""")
 
-_REC_COLUMNS = ("rank, item_id, title, " + _rounded(
+_REC_COLUMNS = ("cast(rank as int) as rank, item_id, title, " + _rounded(
     "final_score", "content_score", "popularity_score", "confidence_penalty")
     + ", data_confidence_score as data_confidence")
 
 # Popularity order for all users of ``cold`` without their exclusions.
 _COLD = """
-select user_id, rank, item_id, title, round(popularity_score, 9) as final_score, 0e0 as content_score,
+select user_id, cast(rank as int) as rank, item_id, title, round(popularity_score, 9) as final_score, 0e0 as content_score,
   round(popularity_score, 9) as popularity_score, 0e0 as confidence_penalty,
   data_confidence_score as data_confidence
 from (select u.user_id, s.*, row_number() over (partition by u.user_id
@@ -328,7 +328,7 @@ select item_id, title, release_year, data_confidence_score,
     "precomputed_items": _with("scored", f"""
 select s.item_id, s.title, {_R.format('popularity_score')}, s.data_confidence_score,
   1e0 as richness_score, 0 as release_year, 0 as n_tags, 0 as n_platforms, '' as category_id,
-  '' as cover_url, len(e.embedding) as dimensions
+  '' as cover_url, cast(len(e.embedding) as int) as dimensions
 from embeddings e join scored s on s.item_id = e.vec_id"""),
     "snapshot_flatten": _GAP_TEXT,
     "snapshot_roundtrip": _GAP_TEXT,
@@ -352,7 +352,7 @@ from signals s join items i on s.item_id = i.item_id left join categories c on i
 where i.category_id is not null group by c.name"""),
     "ranked_items_by_platform": _with("items item_platforms platforms signals", """
 select i.item_id, i.title, p.name as platform, s.best_critic_score,
-  row_number() over (partition by ip.platform_id order by s.best_critic_score desc nulls last, i.item_id) as rank_in_platform
+  cast(row_number() over (partition by ip.platform_id order by s.best_critic_score desc nulls last, i.item_id) as int) as rank_in_platform
 from items i join item_platforms ip on i.item_id = ip.item_id join platforms p on ip.platform_id = p.platform_id
 left join signals s on i.item_id = s.item_id where s.best_critic_score is not null
 order by platform, rank_in_platform limit 50"""),
@@ -490,7 +490,7 @@ select a.vec_id as item_a, b.vec_id as item_b, round(list_cosine_similarity(
   cast(a.embedding as double[]), cast(b.embedding as double[])), 9) as similarity
 from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""",
     "similar_items": _with("items cosines", """
-select item_id, rank, similar_id, similarity from (
+select item_id, cast(rank as int) as rank, similar_id, similarity from (
   select a.item_id, b.item_id as similar_id, round(coalesce(c.sim, 0e0), 9) as similarity,
     row_number() over (partition by a.item_id order by round(coalesce(c.sim, 0e0), 9) desc, b.item_id) as rank
   from items a join items b on a.item_id <> b.item_id
@@ -542,7 +542,7 @@ select item_id, title, round(popularity_score, 9) as popularity_score, data_conf
 from scored where contains(lower(title), 'ring') order by round(popularity_score, 9) desc, item_id limit 10"""),
     "title_lookup": _with("items", "select title, min(item_id) as item_id from items group by title"),
     "score_progress": _with("hybrid", """
-select user_id, rank, item_id, round(least(final_score / max(final_score) over (partition by user_id), 1e0), 9) as progress
+select user_id, cast(rank as int) as rank, item_id, round(least(final_score / max(final_score) over (partition by user_id), 1e0), 9) as progress
 from hybrid where rank <= 5"""),
 
     # Learning to rank
@@ -600,7 +600,7 @@ union all select 'combined', count(distinct item_id), round(count(distinct item_
 select profile, round(avg(-log2(popularity_score)) filter (where popularity_score > 0), 9) as novelty from recs group by profile
 union all select 'combined', round(avg(-log2(popularity_score)) filter (where popularity_score > 0), 9) from recs"""),
     "intra_list_similarity": _with("recs cosines", """
-select a.profile, 20 as n_known, round(avg(coalesce(c.sim, 0e0)), 9) as similarity
+select a.profile, cast(20 as bigint) as n_known, round(avg(coalesce(c.sim, 0e0)), 9) as similarity
 from recs a join recs b on a.profile = b.profile and a.rank < b.rank
 left join cosines c on c.item_a = a.item_id and c.item_b = b.item_id group by a.profile"""),
     "diversity": _with("recs cosines", """
@@ -654,14 +654,14 @@ join (select profile, round(ndcg, 12) as ndcg from list_metrics where k = 10 and
 
     # Explanation
     "explain_rules": _with("hybrid", f"""
-select user_id, rank, item_id, {_RULE} as explanation from (select *, {_RULE_PARTS} as t from hybrid where rank <= 5)"""),
-    "template_text": _with("hybrid", f"select user_id, rank, item_id, {_TEMPLATE} as explanation from hybrid where rank <= 5"),
+select user_id, cast(rank as int) as rank, item_id, {_RULE} as explanation from (select *, {_RULE_PARTS} as t from hybrid where rank <= 5)"""),
+    "template_text": _with("hybrid", f"select user_id, cast(rank as int) as rank, item_id, {_TEMPLATE} as explanation from hybrid where rank <= 5"),
     "item_details": _with("items item_platforms platforms", """
 select i.item_id, i.title, i.release_year, i.category_id, coalesce(p.names, '') as platforms
 from items i left join (select ip.item_id, string_agg(p.name, ', ' order by p.name) as names
   from item_platforms ip join platforms p on ip.platform_id = p.platform_id group by ip.item_id) p on p.item_id = i.item_id"""),
     "explanation_prompts": _with("hybrid items item_platforms platforms", f"""
-select h.user_id, h.rank, h.item_id, 'Explain in one or two sentences why this item was recommended.
+select h.user_id, cast(h.rank as int) as rank, h.item_id, 'Explain in one or two sentences why this item was recommended.
 
 Item: ' || i.title || ' (' || coalesce(cast(i.release_year as varchar), 'unknown') || ')
 Category: ' || coalesce(i.category_id, 'unknown') || '
@@ -675,7 +675,7 @@ from hybrid h join items i on i.item_id = h.item_id left join (
   from item_platforms ip join platforms p on ip.platform_id = p.platform_id group by ip.item_id) p on p.item_id = h.item_id
 where h.rank <= 5"""),
     "explanation_compare": _with("hybrid", f"""
-select user_id, rank, item_id, length(rule) as a_chars, length(tpl) as b_chars, length(tpl) > length(rule) as b_is_longer
+select user_id, cast(rank as int) as rank, item_id, cast(length(rule) as int) as a_chars, cast(length(tpl) as int) as b_chars, length(tpl) > length(rule) as b_is_longer
 from (select user_id, rank, item_id, {_RULE} as rule, {_TEMPLATE} as tpl
   from (select *, {_RULE_PARTS} as t from hybrid where rank <= 5))"""),
 

@@ -1,9 +1,10 @@
 """Truncated SVD of the binary item-feature matrix.
 
-The matrix is never built. Each task turns its items' feature lists into a small dense block
-and adds it to a d x d Gram matrix (d = number of distinct features); the tasks' matrices are
-summed row by row in Spark. The right singular vectors are the eigenvectors of that Gram
-matrix, and an item's embedding is the sum of the vectors of its features.
+The matrix is never built. Each task turns its items' feature lists into small blocks and adds
+them to a d x d Gram matrix (d = number of distinct features); the tasks' matrices are summed
+row by row in Spark. The right singular vectors are the eigenvectors of that Gram matrix, and an
+item's embedding is the sum of the vectors of its features. A vocabulary too large for a d x d
+matrix is handled by subspace iteration, which only needs d x r numbers per step.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from shelfmark.functions.vectors import vector_sum
 from shelfmark.operators.features import vocabulary
 from shelfmark.session import cut
 
-# d x d doubles on the driver: 128 MB at this limit.
-MAX_VOCABULARY = 4_096
+# Largest d whose d x d Gram matrix is formed (128 MB on the driver), and largest d at all
+# (100 components: 80 MB for the broadcast vectors).
+MAX_GRAM = 4_096
+MAX_VOCABULARY = 100_000
 
 
 @dataclass
@@ -73,20 +76,70 @@ def gram_rows(sets: DataFrame, d: int) -> DataFrame:
     return partial.groupBy("idx").agg(vector_sum("gram").alias("gram"))
 
 
+def _gram_times(sets: DataFrame, block: np.ndarray) -> np.ndarray:
+    """Gram matrix times a d x r block, without the Gram matrix: one pass over the sets."""
+    shared = sets.sparkSession.sparkContext.broadcast(block)  # d x r, d checked
+
+    def accumulate(batches):
+        import numpy as np
+        import pandas as pd
+        right = shared.value
+        total, used = np.zeros(right.shape), np.zeros(len(right), dtype=bool)
+        for batch in batches:
+            for idxs, weight in zip(batch["idxs"], batch["weight"]):
+                idxs = np.asarray(idxs, dtype=int)
+                total[idxs] += weight * right[idxs].sum(axis=0)
+                used[idxs] = True
+        rows = np.flatnonzero(used)
+        yield pd.DataFrame({"idx": rows.astype("int32"), "part": [total[i] for i in rows]})
+
+    out = np.zeros(block.shape)
+    partial = sets.mapInPandas(accumulate, "idx int, part array<double>")
+    for row in partial.groupBy("idx").agg(vector_sum("part").alias("part")).collect():
+        out[row["idx"]] = row["part"]
+    return out
+
+
+def _leading(sets: DataFrame, d: int, r: int, steps: int = 30, extra: int = 10,
+             seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """The r largest eigenvalues of the Gram matrix and their vectors, by subspace iteration
+    with a final projection. Stops when the eigenvalues no longer move."""
+    weighted = cut(sets.groupBy("idxs").agg(F.count("*").cast("double").alias("weight")))
+    width = min(d, r + extra)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, width)))[0]
+    last = None
+    for _ in range(steps):
+        product = _gram_times(weighted, basis)
+        values, turn = np.linalg.eigh(basis.T @ product)
+        order = np.argsort(values)[::-1]
+        values, vectors = values[order][:r], (basis @ turn[:, order])[:, :r]
+        if last is not None and np.allclose(values, last, rtol=1e-9, atol=1e-9 * values[0]):
+            break
+        last, basis = values, np.linalg.qr(product)[0]
+    return values, vectors
+
+
 def fit_svd(sets: DataFrame, names: list[tuple[str, str]], n_components: int = 100) -> SvdModel:
-    """Fit on the feature sets. Collects the d x d Gram matrix (d is checked)."""
+    """Fit on the feature sets. The driver holds a d x d or d x r matrix (d is checked)."""
     d = len(names)
-    gram = np.zeros((d, d))
-    for row in gram_rows(sets, d).collect():
-        gram[row["idx"]] = row["gram"]
-    values, vectors = np.linalg.eigh(gram)
+    counts = np.zeros(d)
+    if d <= MAX_GRAM:
+        gram = np.zeros((d, d))
+        for row in gram_rows(sets, d).collect():
+            gram[row["idx"]] = row["gram"]
+        values, vectors = np.linalg.eigh(gram)
+        counts = np.diag(gram).copy()
+    else:
+        values, vectors = _leading(sets, d, n_components)
+        for row in sets.select(F.explode("idxs").alias("idx")).groupBy("idx").count().collect():
+            counts[row["idx"]] = row["count"]
     order = np.argsort(values)[::-1][:min(n_components, d)]
     values, vectors = np.clip(values[order], 0.0, None), vectors[:, order]
     # The sign of a component is free; make its largest entry positive.
     if d:
         peak = np.abs(vectors).argmax(axis=0)
         vectors = vectors * np.where(vectors[peak, np.arange(len(order))] < 0, -1.0, 1.0)
-    return SvdModel(names, vectors, np.sqrt(values), np.diag(gram).copy())
+    return SvdModel(names, vectors, np.sqrt(values), counts)
 
 
 def embed(items: DataFrame, sets: DataFrame, model: SvdModel) -> DataFrame:
@@ -123,6 +176,8 @@ def content_model(items: DataFrame, features: DataFrame,
 
 def cooccurrence(sets: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
     """Items that have both features, for every pair of features that occur together."""
+    if len(names) > MAX_GRAM:
+        raise ValueError(f"more than {MAX_GRAM} features: no pair table of them all")
     labels = F.array(*[F.lit(f"{kind}:{feature}") for kind, feature in names])
     cells = gram_rows(sets, len(names)).select("idx", F.posexplode("gram").alias("other", "n"))
     return cells.where("n > 0").select(

@@ -69,8 +69,7 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], name: str = "global
     the earlier partitions, the only thing to reach the driver, gives the global position.
     ``order`` must be total, so that no two rows compare equal and ranges stay balanced.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn("_at", F.monotonically_increasing_id()))
     part, position = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
     sizes = {r["part"]: r["count"]
