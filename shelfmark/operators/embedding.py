@@ -18,9 +18,9 @@ from shelfmark.functions.vectors import vector_sum
 from shelfmark.operators.features import vocabulary
 from shelfmark.session import cut
 
-# Largest d whose d x d Gram matrix is formed (128 MB on the driver), and largest d at all
-# (100 components: 80 MB for the broadcast vectors).
-MAX_GRAM = 4_096
+# Largest d whose d x d Gram matrix is formed (its cost per item grows with d squared), and
+# largest d at all (100 components: 80 MB for the broadcast vectors).
+MAX_GRAM = 1_024
 MAX_VOCABULARY = 100_000
 
 
@@ -86,10 +86,18 @@ def _gram_times(sets: DataFrame, block: np.ndarray) -> np.ndarray:
         right = shared.value
         total, used = np.zeros(right.shape), np.zeros(len(right), dtype=bool)
         for batch in batches:
-            for idxs, weight in zip(batch["idxs"], batch["weight"]):
-                idxs = np.asarray(idxs, dtype=int)
-                total[idxs] += weight * right[idxs].sum(axis=0)
-                used[idxs] = True
+            for start in range(0, len(batch), 4096):
+                part = batch.iloc[start:start + 4096]
+                lengths = np.array([len(x) for x in part["idxs"]])
+                flat = np.concatenate(part["idxs"].to_list()).astype(int)
+                # Weighted sum of the block over each item's features, given to all of them.
+                sums = np.add.reduceat(right[flat], np.cumsum(lengths) - lengths)
+                sums *= part["weight"].to_numpy()[:, None]
+                order = np.argsort(flat, kind="stable")
+                idx, first = np.unique(flat[order], return_index=True)
+                given = np.repeat(np.arange(len(part)), lengths)[order]
+                total[idx] += np.add.reduceat(sums[given], first)
+                used[idx] = True
         rows = np.flatnonzero(used)
         yield pd.DataFrame({"idx": rows.astype("int32"), "part": [total[i] for i in rows]})
 

@@ -198,6 +198,18 @@ def test_svd_matches_dense_svd(spark, monkeypatch, max_gram):
     assert [r["explained_ratio"] for r in ratios] == pytest.approx(dense.tolist())
 
 
+def test_subspace_iteration_converges(spark):
+    probs = np.linspace(0.9, 0.05, 60)
+    matrix = (RNG.random((400, 60)) < probs).astype(float)
+    matrix[:, :2] = 1.0
+    sets = spark.createDataFrame([(i, np.flatnonzero(r).tolist()) for i, r in enumerate(matrix)],
+                                 "item_id bigint, idxs array<int>")
+    values, vectors = em._leading(sets, 60, 3, steps=200, extra=5)
+    _, s, vt = np.linalg.svd(matrix)
+    assert np.sqrt(values) == pytest.approx(s[:3], rel=1e-6)
+    assert abs(vectors[:, 0] @ vt[0]) == pytest.approx(1.0, abs=1e-6)
+
+
 def test_liked_twice_weighs_double(spark):
     vectors = spark.createDataFrame([(1, [3.0, 0.0]), (2, [0.0, 3.0])],
                                     "item_id bigint, embedding array<double>")
