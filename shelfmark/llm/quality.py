@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shelfmark.llm.storage import stored
 from shelfmark.llm.textbatch import (
-    Texts, chunks, covered, per_text, powers, window_hashes, window_starts, mix)
+    Texts, chunks, covered, mix, per_text, window_hashes, window_starts)
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 6_000        # most labelled rows that are read for training
@@ -131,42 +132,58 @@ def _scores(grams, heads: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _features(batches):
-    """One row per sampled text: distinct buckets and their scaled counts."""
+def _text_features(batches) -> Iterator[tuple]:
+    """(batch, text number, distinct buckets, their scaled counts) of every sampled text."""
     for batch in batches:
         for texts in chunks(batch.column("text")):
             _, words, hashes = base_counts(texts)
             kinds = list(_grams(texts, words, hashes))
-            idx, val = [], []
             for i in range(texts.n):
-                parts = [(b[o[i]:o[i + 1]], max(o[i + 1] - o[i], 1) ** -LENGTH_POWER) for b, o in kinds]
+                parts = [(b[o[i]:o[i + 1]], max(o[i + 1] - o[i], 1) ** -LENGTH_POWER)
+                         for b, o in kinds]
                 buckets = np.concatenate([p for p, _ in parts])
                 weight = np.concatenate([np.full(len(p), s) for p, s in parts])
                 distinct, place = np.unique(buckets, return_inverse=True)
-                idx.append(distinct.astype(np.int32).tobytes())
-                val.append(np.bincount(place, weight, len(distinct)).astype(np.float32).tobytes())
-            rows = slice(texts.first, texts.first + texts.n)
+                yield batch, texts.first + i, distinct, np.bincount(place, weight, len(distinct))
+
+
+def _class_counts(batches):
+    """By bucket, the training texts of each class that hold it."""
+    counts = np.zeros((4, BUCKETS), np.int64)
+    for batch, i, buckets, _ in _text_features(batches):
+        if not batch.column("held")[i].as_py():
+            for row, name in enumerate(HEADS):
+                counts[2 * row + batch.column(name)[i].as_py(), buckets] += 1
+    there = np.flatnonzero(counts.any(0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(there.astype(np.int64)), *[pa.array(c[there]) for c in counts]],
+        ["bucket", *_COUNTS])
+
+
+_COUNTS = ("quality_0", "quality_1", "toxic_0", "toxic_1")
+
+
+def _picked_features(picked):
+    def emit(batches):
+        for batch, i, buckets, values in _text_features(batches):
+            own = np.isin(buckets, picked)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("quality")[rows], batch.column("toxic")[rows],
-                 batch.column("order")[rows], pa.array(idx, pa.binary()), pa.array(val, pa.binary())],
-                ["quality", "toxic", "order", "idx", "val"])
-
-
-def _telling(idx, row_of, target, held) -> np.ndarray:
-    """Buckets in which the two classes' training documents differ clearly (two-proportion z)."""
-    fit = ~held[row_of]
-    plus, minus = (target[~held] > 0).sum(), (target[~held] == 0).sum()
-    with_plus = np.bincount(idx[fit & (target[row_of] > 0)], minlength=BUCKETS)
-    with_minus = np.bincount(idx[fit & (target[row_of] == 0)], minlength=BUCKETS)
-    share = (with_plus + with_minus + 1) / (plus + minus + 2)
+                [batch.column(c).slice(i, 1) for c in ("quality", "toxic", "held", "order")]
+                + [pa.array([buckets[own].astype(np.int32).tobytes()], pa.binary()),
+                   pa.array([values[own].astype(np.float32).tobytes()], pa.binary())],
+                ["quality", "toxic", "held", "order", "idx", "val"])
+    return emit
+
+
+def _telling(without: np.ndarray, with_it: np.ndarray, minus: int, plus: int) -> np.ndarray:
+    """Marks of buckets in which the classes' training texts differ clearly (two-proportion z)."""
+    share = (with_it + without + 1) / (plus + minus + 2)
     spread = np.sqrt(share * (1 - share) * (1 / plus + 1 / minus))
-    return np.abs(with_plus / plus - with_minus / minus) >= MIN_Z * spread
+    return np.abs(with_it / plus - without / minus) >= MIN_Z * spread
 
 
 def _fit(idx, val, row_of, target, held, steps=12, rate=0.3, decay=1e-5) -> Head:
     """Logistic regression by Adagrad over mini-batches, then Platt scaling on the held-out rows."""
-    told = _telling(idx, row_of, target, held)[idx]
-    idx, val, row_of = idx[told], val[told], row_of[told]
     n, weights, grown = len(target), np.zeros(BUCKETS, np.float32), np.full(BUCKETS, 1e-6, np.float32)
     bounds = np.searchsorted(row_of, np.arange(n + 1))
     share = target.mean()
@@ -209,33 +226,47 @@ def _fit(idx, val, row_of, target, held, steps=12, rate=0.3, decay=1e-5) -> Head
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Head]:
     """Fit both heads on at most ``sample_rows`` labelled documents, picked by hash of the id.
 
-    Only the sampled rows' hashed counts reach the driver; that bound is the parameter.
+    Buckets are chosen from counts that Spark adds up; of the sampled rows only the chosen buckets'
+    values reach the driver, and ``sample_rows`` bounds them.
     """
-    sample = (labels.where("doc_id is not null and quality is not null and toxic is not null")
-              .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    picked = (labels.where("doc_id is not null and quality is not null and toxic is not null")
+              .groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"),
+                                     (F.max("toxic") > 0).cast("int").alias("toxic"))
               .withColumn("order", F.xxhash64("doc_id", F.lit(1)))
               .orderBy("order").limit(sample_rows))
-    rows = (documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-            .select("text", "quality", "toxic", "order")
-            .mapInArrow(_features, "quality int, toxic int, order long, idx binary, val binary")
-            .toArrow())
-    idx = [np.frombuffer(x, np.int32) for x in rows.column("idx").to_pylist()]
-    val = [np.frombuffer(x, np.float32) for x in rows.column("val").to_pylist()]
-    order = np.lexsort(([len(x) for x in idx], rows.column("order").to_numpy())) if idx else []
-    held = np.arange(len(idx)) % HELD_OUT == 0
+    sample = stored(documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
+        "text", "quality", "toxic", "order", (F.pmod("order", F.lit(HELD_OUT)) == 0).alias("held")),
+        "labelled")
+    sizes = {(r["held"], name, r[name]): r["n"] for name in HEADS
+             for r in sample.groupBy("held", name).agg(F.count("*").alias("n")).collect()}
+    counts = sample.mapInArrow(_class_counts, ", ".join(f"{c} long" for c in ("bucket", *_COUNTS)))
+    found = counts.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in _COUNTS]).toArrow()
+    bucket = found.column("bucket").to_numpy()
+    chosen = {}
+    for name in HEADS:
+        if all(sizes.get((held, name, value)) for held in (True, False) for value in (0, 1)):
+            marks = _telling(found.column(f"{name}_0").to_numpy(), found.column(f"{name}_1").to_numpy(),
+                             sizes[False, name, 0], sizes[False, name, 1])
+            chosen[name] = bucket[marks]
+    picked = np.unique(np.concatenate([*chosen.values(), np.zeros(0, np.int64)]))
+    rows = sample.mapInArrow(_picked_features(picked), "quality int, toxic int, held boolean, "
+                             "order long, idx binary, val binary").toArrow()
+    size = np.array([len(x) for x in rows.column("idx").to_pylist()], np.int64)
+    turn = np.lexsort((size, rows.column("order").to_numpy()))
+    idx = np.frombuffer(b"".join(rows.column("idx").take(pa.array(turn)).to_pylist()), np.int32)
+    val = np.frombuffer(b"".join(rows.column("val").take(pa.array(turn)).to_pylist()), np.float32)
+    row_of = np.repeat(np.arange(len(turn)), size[turn] // 4)
+    held = rows.column("held").to_numpy()[turn].astype(bool)
     heads = []
     for name, default in zip(HEADS, (1.0, 0.0)):
-        target = rows.column(name).to_numpy()[order].astype(float) if idx else np.zeros(0)
-        if min((target[~held] > 0).sum(), (target[~held] <= 0).sum(),
-               (target[held] > 0).sum(), (target[held] <= 0).sum()) == 0:
+        target = rows.column(name).to_numpy()[turn].astype(float)
+        if name in chosen:
+            own = np.isin(idx, chosen[name])
+            heads.append(_fit(idx[own], val[own], row_of[own], target, held))
+        else:
             share = target.mean() if len(target) else default
             heads.append(Head(np.zeros(BUCKETS, np.float32), 0.0,
                               float(np.log((share + 1e-6) / (1 - share + 1e-6)))))
-            continue
-        heads.append(_fit(np.concatenate([idx[i] for i in order]),
-                          np.concatenate([val[i] for i in order]),
-                          np.repeat(np.arange(len(order)), [len(idx[i]) for i in order]),
-                          (target > 0).astype(float), held))
     return heads
 
 
