@@ -35,7 +35,7 @@ REACH = 2
 HIDDEN = 16
 ROUNDS = 1
 BATCH = 512
-RATE = 0.5
+RATE = 2.0
 BLOCK = 1024               # parameters per row when tasks are averaged
 
 

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused folder below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own, and keeps it.
+    Only a local session without that setting gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.sparkContext.getCheckpointDir()
+        if not root:
+            root = tempfile.mkdtemp(prefix="llm-")
+            spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
