@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "8g")
