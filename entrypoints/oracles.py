@@ -20,8 +20,7 @@ union select p_partkey, lower(p_type) from part where p_partkey % 13 <> 0""",
     "tags": "select distinct tag_id from item_tags where tag_id <> 'rod'",
     "item_platforms": """
 select distinct l.l_partkey as item_id, n.n_name as platform_id
-from lineitem l join supplier s on l.l_suppkey = s.s_suppkey join nation n on s.s_nationkey = n.n_nationkey
-where l.l_linenumber = 1""",
+from lineitem l join supplier s on l.l_suppkey = s.s_suppkey join nation n on s.s_nationkey = n.n_nationkey""",
     "platforms": "select n_name as platform_id, concat('platform ', lower(n_name)) as name from nation",
     "categories": "select distinct p_type as category_id, concat('cat ', lower(p_type)) as name from part",
     "signals": """
@@ -277,15 +276,15 @@ def _two(x: str) -> str:
     return f"printf('%.2f', floor(round({x}, 9) * 100 + 0.5) / 100)"
 
 
-_RULE = """case when t = '' then 'recommended for general popularity' else t end"""
-_RULE_PARTS = """concat_ws(' · ',
-  case when content_score > 0.05 then 'shares tags or category with items you like' end,
-  case when popularity_score > 0.5 then 'widely popular' end,
-  case when data_confidence_score >= 70 then printf('well documented (%d/100)', data_confidence_score)
-       when data_confidence_score < 40 then 'limited data, check other sources' end,
-  case when confidence_penalty > 0.02 then 'ranked lower for missing quality data' end)"""
-_TEMPLATE = (f"'Recommended for high content similarity (score: ' || {_two('content_score')} || "
-             f"') to your selection and strong popularity (score: ' || {_two('popularity_score')} || ').'")
+_RULE = """case when t = '' then 'no score is out of the ordinary' else t end"""
+_RULE_PARTS = f"""concat_ws('; ',
+  case when content_score > 0.05 then 'content_score ' || {_two('content_score')} || ' > 0.05' end,
+  case when popularity_score > 0.5 then 'popularity_score ' || {_two('popularity_score')} || ' > 0.50' end,
+  case when data_confidence_score >= 70 then 'data_confidence ' || data_confidence_score || '.00 >= 70.00'
+       when data_confidence_score < 40 then 'data_confidence ' || data_confidence_score || '.00 < 40.00' end,
+  case when confidence_penalty > 0.02 then 'confidence_penalty ' || {_two('confidence_penalty')} || ' > 0.02' end)"""
+_TEMPLATE = (f"'content_score=' || {_two('content_score')} || "
+             f"' popularity_score=' || {_two('popularity_score')}")
 
 # Rational approximation of erf, as in the operator.
 _ERF = ("(1e0 - (((((1.061405429e0 * t + -1.453152027e0) * t + 1.421413741e0) * t + -0.284496736e0) * t "
@@ -661,17 +660,20 @@ select i.item_id, i.title, i.release_year, i.category_id, coalesce(p.names, '')
 from items i left join (select ip.item_id, string_agg(p.name, ', ' order by p.name) as names
   from item_platforms ip join platforms p on ip.platform_id = p.platform_id group by ip.item_id) p on p.item_id = i.item_id"""),
     "explanation_prompts": _with("hybrid items item_platforms platforms", f"""
-select h.user_id, cast(h.rank as int) as rank, h.item_id, 'Explain in one or two sentences why this item was recommended.
-
-Item: ' || i.title || ' (' || coalesce(cast(i.release_year as varchar), 'unknown') || ')
-Category: ' || coalesce(i.category_id, 'unknown') || '
-Platforms: ' || coalesce(p.names, 'unknown') || '
-Content similarity: ' || {_two('h.content_score')} || '
-Popularity: ' || {_two('h.popularity_score')} || '
-Data confidence: ' || h.data_confidence_score || '/100
-Final score: ' || {_two('h.final_score')} as prompt
+select h.user_id, cast(h.rank as int) as rank, h.item_id, '[recommendation]
+item=' || i.item_id || '
+title=' || i.title || '
+released=' || coalesce(cast(i.release_year as varchar), '?') || '
+category=' || coalesce(i.category_id, '?') || '
+on=' || coalesce(p.names, '?') || '
+final_score=' || {_two('h.final_score')} || '
+content_score=' || {_two('h.content_score')} || '
+popularity_score=' || {_two('h.popularity_score')} || '
+data_confidence=' || h.data_confidence_score || '
+[task]
+Name what in these data speaks for the item. Use no other facts.' as prompt
 from hybrid h join items i on i.item_id = h.item_id left join (
-  select ip.item_id, string_agg(p.name, ', ' order by p.name) as names
+  select ip.item_id, string_agg(p.name, '|' order by p.name) as names
   from item_platforms ip join platforms p on ip.platform_id = p.platform_id group by ip.item_id) p on p.item_id = h.item_id
 where h.rank <= 5"""),
     "explanation_compare": _with("hybrid", f"""
@@ -692,13 +694,13 @@ select item_id, title, data_confidence_score, round(popularity_score, 9) as popu
 from scored where data_confidence_score < 30"""),
     "key_metrics": _with("grid_result items bin", """
 , best as (select * from grid_result order by round(ndcg_at_5, 9) desc, setting limit 1)
-select 'alpha_best' as metric, alpha as value, 'content weight of the best setting' as description from best
-union all select 'beta_best', beta, 'popularity weight of the best setting' from best
-union all select 'gamma_best', gamma, 'penalty weight of the best setting' from best
-union all select 'ndcg_at_5_best', round(ndcg_at_5, 9), 'NDCG@5 of the best setting' from best
-union all select 'precision_at_5_best', round(precision_at_5, 9), 'Precision@5 of the best setting' from best
-union all select 'total_items_in_catalog', cast(count(*) as double), 'items in the feature matrix' from items
-union all select 'feature_dimensions', cast(count(distinct kind || feature) as double), 'dimensions of the content model' from bin""".strip()),
+select 'alpha_best' as metric, alpha as value, 'alpha of the row with the highest NDCG@5' as description from best
+union all select 'beta_best', beta, 'beta of the row with the highest NDCG@5' from best
+union all select 'gamma_best', gamma, 'gamma of the row with the highest NDCG@5' from best
+union all select 'ndcg_at_5_best', round(ndcg_at_5, 9), 'highest NDCG@5 among all settings tried' from best
+union all select 'precision_at_5_best', round(precision_at_5, 9), 'Precision@5 in the row with the highest NDCG@5' from best
+union all select 'total_items_in_catalog', cast(count(*) as double), 'number of scored item rows' from items
+union all select 'feature_dimensions', cast(count(distinct kind || feature) as double), 'number of columns that the embedding was fitted to' from bin""".strip()),
     "snapshot_diff": _with("gaps scored", """
 , counted as (
   select count(*) filter (where missing_issues like '%no_category%') as c, count(*) filter (where missing_issues like '%no_category%'

@@ -57,7 +57,7 @@ def derive_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
         nations = base("supplier").join(
             base("nation"), F.col("s_nationkey") == F.col("n_nationkey")
         ).select("s_suppkey", "n_name")
-        return (base("lineitem").where("l_linenumber = 1")
+        return (base("lineitem")
                 .join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
                 .select(F.col("l_partkey").alias("item_id"), F.col("n_name").alias("platform_id"))
                 .distinct())

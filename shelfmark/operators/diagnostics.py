@@ -63,13 +63,13 @@ def key_metrics(grid: DataFrame, scored: DataFrame, dimensions: int) -> DataFram
     best = grid.orderBy(F.round("ndcg_at_5", 9).desc(), "setting").limit(1)
     total = scored.agg(F.count("*").cast("double").alias("n")).scalar()
     cells = [
-        ("alpha_best", F.col("alpha"), "content weight of the best setting"),
-        ("beta_best", F.col("beta"), "popularity weight of the best setting"),
-        ("gamma_best", F.col("gamma"), "penalty weight of the best setting"),
-        ("ndcg_at_5_best", F.col("ndcg_at_5"), "NDCG@5 of the best setting"),
-        ("precision_at_5_best", F.col("precision_at_5"), "Precision@5 of the best setting"),
-        ("total_items_in_catalog", F.col("total"), "items in the feature matrix"),
-        ("feature_dimensions", F.lit(float(dimensions)), "dimensions of the content model"),
+        ("alpha_best", F.col("alpha"), "alpha of the row with the highest NDCG@5"),
+        ("beta_best", F.col("beta"), "beta of the row with the highest NDCG@5"),
+        ("gamma_best", F.col("gamma"), "gamma of the row with the highest NDCG@5"),
+        ("ndcg_at_5_best", F.col("ndcg_at_5"), "highest NDCG@5 among all settings tried"),
+        ("precision_at_5_best", F.col("precision_at_5"), "Precision@5 in the row with the highest NDCG@5"),
+        ("total_items_in_catalog", F.col("total"), "number of scored item rows"),
+        ("feature_dimensions", F.lit(float(dimensions)), "number of columns that the embedding was fitted to"),
     ]
     return best.withColumn("total", total).select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"),

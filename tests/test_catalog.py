@@ -119,11 +119,11 @@ def test_rule_texts(spark):
         "confidence_penalty double")
     texts = [r["explanation"] for r in xp.explain_rules(recs).orderBy("item_id").collect()]
     assert texts == [
-        "shares tags or category with items you like · widely popular · well documented (70/100) · "
-        "ranked lower for missing quality data",
-        "recommended for general popularity", "limited data, check other sources"]
+        "content_score 0.06 > 0.05; popularity_score 0.60 > 0.50; data_confidence 70.00 >= 70.00; "
+        "confidence_penalty 0.03 > 0.02",
+        "no score is out of the ordinary", "data_confidence 39.00 < 40.00"]
     assert xp.explain_rules(recs.select("item_id")).first()["explanation"] == \
-        "recommended for general popularity"
+        "no score is out of the ordinary"
 
 
 def test_prompt_of_unknown_item(spark):
@@ -133,8 +133,7 @@ def test_prompt_of_unknown_item(spark):
     details = spark.createDataFrame([], "item_id int, title string, release_year int, "
                                         "category_id string, platforms array<string>")
     prompt = xp.explanation_prompts(recs, details).first()["prompt"]
-    assert "Item: 9 (unknown)" in prompt and "Platforms: unknown" in prompt
-    assert "Content similarity: 0.13" in prompt
+    assert "item=9\ntitle=?" in prompt and "on=?" in prompt and "content_score=0.13" in prompt
 
 
 def test_export_and_manifest(spark, tmp_path):
