@@ -249,8 +249,8 @@ def repeated_runs(texts: DataFrame, kind: Kind, search: Search, keep_first: bool
     """
     spark = texts.sparkSession
     base = texts.select("d", "mark", "text")
-    rows = stored(base.mapInArrow(_segment_rows(kind), _ROW), "segments")
-    seen = stored(_repeated(rows), "repeated")
+    # Found twice rather than stored: a row per segment of the corpus is more to write than to find.
+    seen = stored(_repeated(base.mapInArrow(_segment_rows(kind), _ROW)), "repeated")
     distinct = stored(_distinct(seen), "distinct")
     sizes = distinct.groupBy("h").agg(F.count("*").alias("n"))
     total = distinct.count()
@@ -258,7 +258,7 @@ def repeated_runs(texts: DataFrame, kind: Kind, search: Search, keep_first: bool
     hot = [r["h"] for r in sizes.where(F.col("n") > limit).select("h").collect()]
     if hot:
         keys = spark.sparkContext.broadcast(np.array(hot, np.int64))
-        windows = _repeated(stored(base.mapInArrow(_window_rows(kind, keys), _ROW), "windows"))
+        windows = _repeated(base.mapInArrow(_window_rows(kind, keys), _ROW))
         seen = stored(seen.where(~F.col("h").isin(hot)).unionByName(windows)
                       if len(hot) < 50 else seen.join(
                           spark.createDataFrame([(h,) for h in hot], "h long"), "h", "left_anti")
