@@ -39,7 +39,7 @@ MIN_JACCARD = 0.8
 HASHES = 128
 LOOSE_SHARE = 0.65         # of sketch bytes that agree before a pair is verified
 LEAF = 128                 # sets that are compared all against all
-MAX_DEPTH = 3
+MAX_DEPTH = 4
 TARGET_RECALL = 0.9999
 BLOCK_SETS, BLOCK_SHINGLES = 768, 400_000
 
