@@ -633,15 +633,16 @@ done as (select lift, standard_error, z, 2 * (1 - 0.5e0 * (1e0 + {_ERF})) as p_v
 select round(lift, 9) as lift, round(standard_error, 9) as standard_error, round(z, 9) as z, round(p_value, 9) as p_value,
   p_value < 0.05 as significant from done""".strip()),
     "ab_bootstrap_ci": _with("ab_units", """
-, numbered as (select row_number() over (order by unit_id) - 1 as no, metric_b - metric_a as lift from ab_units),
-size as (select count(*) as n from numbered),
-hashes as (select rep.range as rep, blk.range as block, md5('42:' || rep.range || ':' || blk.range) as h
-  from range(10000) rep cross join (select unnest(range((n + 3) // 4)) as range from size) blk),
-draws as (select rep, cast('0x' || substr(h, 8 * i + 1, 8) as bigint) % n as no
-  from hashes cross join (select cast(range as int) as i from range(4)) cross join size where block * 4 + i < n),
-means as (select rep, sum(lift) / any_value(n) as m from draws join numbered using (no) cross join size group by rep)
+, steps as (select k, cast(floor(sum(exp(-1) / factorial(cast(k as int))) over (order by k) * 4294967296) as bigint) as step
+  from (select unnest(range(12)) as k)),
+hashes as (select metric_b - metric_a as lift, blk.range as block, md5('42:' || unit_id || ':' || blk.range) as h
+  from ab_units cross join range(2500) blk),
+draws as (select block * 4 + i as rep, lift, cast('0x' || substr(h, 8 * i + 1, 8) as bigint) as draw
+  from hashes cross join (select cast(range as int) as i from range(4))),
+weights as (select rep, lift, list_sum(list_transform((select list(step) from steps), lambda s: cast(draw >= s as int))) as w from draws),
+means as (select rep, sum(w * lift) / nullif(sum(w), 0) as m from weights group by rep)
 select round(quantile_cont(m, 0.025), 9) as ci_low, round(quantile_cont(m, 0.975), 9) as ci_high,
-  (select n from size) as n_units from means""".strip()),
+  (select count(*) from ab_units) as n_units from means""".strip()),
     "ab_variants": _with("list_metrics", """
 select round(avg(a.ndcg), 9) as mean_a, round(stddev_pop(a.ndcg), 9) as std_a, round(avg(b.ndcg), 9) as mean_b,
   round(stddev_pop(b.ndcg), 9) as std_b, round(avg(b.ndcg - a.ndcg), 9) as lift,

@@ -26,7 +26,9 @@ def _penalty() -> Column:
 
 
 def _settings(settings: Sequence[Weights]) -> Column:
-    """One row per weight setting; the list is a parameter of the call."""
+    """One row per weight setting; the list is a parameter of the call. No weight may be negative."""
+    if any(weight < 0 for setting in settings for weight in setting):
+        raise ValueError("weights must not be negative: the bounds of the search do not hold then")
     return F.explode(F.array(*[
         F.struct(F.lit(i).alias("setting"), F.lit(float(a)).alias("alpha"),
                  F.lit(float(b)).alias("beta"), F.lit(float(g)).alias("gamma"))

@@ -223,3 +223,8 @@ def test_title_search_and_lookup(spark):
     assert [r["item_id"] for r in rc.search_title(items, "RING", 2).collect()] == [4, 1]
     found = {r["title"]: r["item_id"] for r in rc.title_lookup(items).collect()}
     assert found["Blue Ring"] == 3
+
+
+def test_negative_weights_are_refused(spark):
+    with pytest.raises(ValueError):
+        rc._settings([(0.5, 0.4, 0.1), (0.5, -0.1, 0.1)])
