@@ -1,10 +1,9 @@
 """Truncated SVD of the binary item-feature matrix.
 
-The matrix is never built. Each task turns its items' feature lists into small blocks and adds
-them to a d x d Gram matrix (d = number of distinct features); the tasks' matrices are summed
-row by row in Spark. The right singular vectors are the eigenvectors of that Gram matrix, and an
-item's embedding is the sum of the vectors of its features. A vocabulary too large for a d x d
-matrix is handled by subspace iteration, which only needs d x r numbers per step.
+The matrix is never built, nor is its d x d Gram matrix (d = number of distinct features). The
+right singular vectors are the eigenvectors of that Gram matrix, found by subspace iteration at
+every size: a step multiplies a d x r block by it in one pass over the feature sets. An item's
+embedding is the sum of the vectors of its features.
 """
 
 from __future__ import annotations
@@ -18,9 +17,7 @@ from shelfmark.functions.vectors import vector_sum
 from shelfmark.operators.features import vocabulary
 from shelfmark.session import cut
 
-# Largest d whose d x d Gram matrix is formed (its cost per item grows with d squared), and
-# largest d at all (100 components: 80 MB for the broadcast vectors).
-MAX_GRAM = 1_024
+# Largest d (100 components: 80 MB for the broadcast vectors).
 MAX_VOCABULARY = 100_000
 
 
@@ -51,29 +48,9 @@ def feature_sets(features: DataFrame, names: list[tuple[str, str]]) -> DataFrame
         F.sort_array(F.collect_set("idx")).alias("idxs"))
 
 
-def gram_rows(sets: DataFrame, d: int) -> DataFrame:
-    """Rows of the Gram matrix: (idx, row array of length d).
-
-    Equal feature sets are counted first, so a set shared by many items is one weighted row.
-    """
-    def accumulate(batches):
-        import numpy as np
-        import pandas as pd
-        total = np.zeros((d, d))
-        for batch in batches:
-            for start in range(0, len(batch), 4096):
-                part = batch.iloc[start:start + 4096]
-                block = np.zeros((len(part), d))
-                lengths = [len(x) for x in part["idxs"]]
-                block[np.repeat(np.arange(len(part)), lengths),
-                      np.concatenate(part["idxs"].to_list()).astype(int)] = 1.0
-                total += block.T @ (block * part["weight"].to_numpy()[:, None])
-        used = np.flatnonzero(total.any(axis=1))
-        yield pd.DataFrame({"idx": used.astype("int32"), "gram": [total[i] for i in used]})
-
-    weighted = sets.groupBy("idxs").agg(F.count("*").cast("double").alias("weight"))
-    partial = weighted.mapInPandas(accumulate, "idx int, gram array<double>")
-    return partial.groupBy("idx").agg(vector_sum("gram").alias("gram"))
+def weighted_sets(sets: DataFrame) -> DataFrame:
+    """Distinct feature sets with the number of items that have them."""
+    return sets.groupBy("idxs").agg(F.count("*").alias("weight"))
 
 
 def _gram_times(sets: DataFrame, block: np.ndarray) -> np.ndarray:
@@ -92,7 +69,7 @@ def _gram_times(sets: DataFrame, block: np.ndarray) -> np.ndarray:
                 flat = np.concatenate(part["idxs"].to_list()).astype(int)
                 # Weighted sum of the block over each item's features, given to all of them.
                 sums = np.add.reduceat(right[flat], np.cumsum(lengths) - lengths)
-                sums *= part["weight"].to_numpy()[:, None]
+                sums *= part["weight"].to_numpy(dtype=float)[:, None]
                 order = np.argsort(flat, kind="stable")
                 idx, first = np.unique(flat[order], return_index=True)
                 given = np.repeat(np.arange(len(part)), lengths)[order]
@@ -108,45 +85,43 @@ def _gram_times(sets: DataFrame, block: np.ndarray) -> np.ndarray:
     return out
 
 
-def _leading(sets: DataFrame, d: int, r: int, steps: int = 30, extra: int = 10,
+def _leading(sets: DataFrame, d: int, r: int, steps: int = 300, extra: int = 10,
              seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
     """The r largest eigenvalues of the Gram matrix and their vectors, by subspace iteration
-    with a final projection. Stops when the eigenvalues no longer move."""
-    weighted = cut(sets.groupBy("idxs").agg(F.count("*").cast("double").alias("weight")))
+    with a projection in every step.
+
+    Stops when G v - value * v is at most 1e-9 of the largest value for all of them, and raises
+    when that is not reached in ``steps`` passes. With at most r + extra features the first
+    pass is exact.
+    """
+    weighted = cut(weighted_sets(sets))
     width = min(d, r + extra)
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, width)))[0]
-    last = None
     for _ in range(steps):
         product = _gram_times(weighted, basis)
-        values, turn = np.linalg.eigh(basis.T @ product)
-        order = np.argsort(values)[::-1]
-        values, vectors = values[order][:r], (basis @ turn[:, order])[:, :r]
-        if last is not None and np.allclose(values, last, rtol=1e-9, atol=1e-9 * values[0]):
-            break
-        last, basis = values, np.linalg.qr(product)[0]
-    return values, vectors
+        projected = basis.T @ product
+        values, turn = np.linalg.eigh((projected + projected.T) / 2)
+        order = np.argsort(values)[::-1][:r]
+        values, vectors = values[order], basis @ turn[:, order]
+        gap = np.linalg.norm(product @ turn[:, order] - vectors * values, axis=0)
+        if gap.max(initial=0.0) <= 1e-9 * values.max(initial=0.0):
+            return values, vectors
+        basis = np.linalg.qr(product)[0]
+    raise RuntimeError(f"the components did not converge in {steps} passes")
 
 
 def fit_svd(sets: DataFrame, names: list[tuple[str, str]], n_components: int = 100) -> SvdModel:
-    """Fit on the feature sets. The driver holds a d x d or d x r matrix (d is checked)."""
+    """Fit on the feature sets. The driver holds a d x r matrix (d is checked)."""
     d = len(names)
     counts = np.zeros(d)
-    if d <= MAX_GRAM:
-        gram = np.zeros((d, d))
-        for row in gram_rows(sets, d).collect():
-            gram[row["idx"]] = row["gram"]
-        values, vectors = np.linalg.eigh(gram)
-        counts = np.diag(gram).copy()
-    else:
-        values, vectors = _leading(sets, d, n_components)
-        for row in sets.select(F.explode("idxs").alias("idx")).groupBy("idx").count().collect():
-            counts[row["idx"]] = row["count"]
-    order = np.argsort(values)[::-1][:min(n_components, d)]
-    values, vectors = np.clip(values[order], 0.0, None), vectors[:, order]
+    for row in sets.select(F.explode("idxs").alias("idx")).groupBy("idx").count().collect():
+        counts[row["idx"]] = row["count"]
+    values, vectors = _leading(sets, d, min(n_components, d))
+    values = np.clip(values, 0.0, None)
     # The sign of a component is free; make its largest entry positive.
     if d:
         peak = np.abs(vectors).argmax(axis=0)
-        vectors = vectors * np.where(vectors[peak, np.arange(len(order))] < 0, -1.0, 1.0)
+        vectors = vectors * np.where(vectors[peak, np.arange(len(values))] < 0, -1.0, 1.0)
     return SvdModel(names, vectors, np.sqrt(values), counts)
 
 
@@ -184,13 +159,13 @@ def content_model(items: DataFrame, features: DataFrame,
 
 def cooccurrence(sets: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
     """Items that have both features, for every pair of features that occur together."""
-    if len(names) > MAX_GRAM:
-        raise ValueError(f"more than {MAX_GRAM} features: no pair table of them all")
-    labels = F.array(*[F.lit(f"{kind}:{feature}") for kind, feature in names])
-    cells = gram_rows(sets, len(names)).select("idx", F.posexplode("gram").alias("other", "n"))
-    return cells.where("n > 0").select(
-        labels[F.col("idx")].alias("feature_a"), labels[F.col("other")].alias("feature_b"),
-        F.col("n").cast("bigint").alias("item_count"))
+    labels = sets.sparkSession.createDataFrame(
+        [(i, f"{kind}:{feature}") for i, (kind, feature) in enumerate(names)], "idx int, label string")
+    pairs = weighted_sets(sets).withColumn("a", F.explode("idxs")).withColumn(
+        "b", F.explode("idxs")).groupBy("a", "b").agg(F.sum("weight").alias("item_count"))
+    # The labels have at most MAX_VOCABULARY rows.
+    return pairs.join(F.broadcast(labels.toDF("a", "feature_a")), "a").join(
+        F.broadcast(labels.toDF("b", "feature_b")), "b").select("feature_a", "feature_b", "item_count")
 
 
 def explained_variance(embeddings: DataFrame, model: SvdModel, n_items: int) -> DataFrame:

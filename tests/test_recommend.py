@@ -177,9 +177,7 @@ def test_mmr(spark, monkeypatch, lam, limit):
             assert mine == [i for i, _ in rows][:4]
 
 
-@pytest.mark.parametrize("max_gram", [4096, 3])
-def test_svd_matches_dense_svd(spark, monkeypatch, max_gram):
-    monkeypatch.setattr(em, "MAX_GRAM", max_gram)
+def test_svd_matches_dense_svd(spark):
     matrix = (RNG.random((40, 9)) < 0.3).astype(float)
     features = spark.createDataFrame(
         [(i, "tag", f"f{j}") for i, j in zip(*map(lambda x: x.tolist(), matrix.nonzero()))],
@@ -208,6 +206,8 @@ def test_subspace_iteration_converges(spark):
     _, s, vt = np.linalg.svd(matrix)
     assert np.sqrt(values) == pytest.approx(s[:3], rel=1e-6)
     assert abs(vectors[:, 0] @ vt[0]) == pytest.approx(1.0, abs=1e-6)
+    with pytest.raises(RuntimeError):
+        em._leading(sets, 60, 3, steps=2, extra=5)
 
 
 def test_liked_twice_weighs_double(spark):
