@@ -155,9 +155,8 @@ def mmr_loop(rows, vectors, k, lam):
     return [c[0] for c in chosen]
 
 
-@pytest.mark.parametrize("lam,limit", [(0.0, 1000), (0.5, 1000), (1.0, 1000), (0.5, 3)])
-def test_mmr(spark, monkeypatch, lam, limit):
-    monkeypatch.setattr(rr, "LIST_LIMIT", limit)
+@pytest.mark.parametrize("lam", [0.0, 0.5, 1.0])
+def test_mmr(spark, lam):
     vectors = {i: RNG.normal(size=3) if i % 5 else np.zeros(3) for i in range(30)}
     lists = {}
     for user in range(6):
@@ -175,6 +174,8 @@ def test_mmr(spark, monkeypatch, lam, limit):
         assert mine == mmr_loop(rows, vectors, 4, lam)
         if lam == 1.0:
             assert mine == [i for i, _ in rows][:4]
+    with pytest.raises(Exception, match="longer than 5 rows"):
+        rr.mmr_rerank(recs, table, 4, lam, "user_id", longest=5).collect()
 
 
 def test_svd_matches_dense_svd(spark):
