@@ -17,8 +17,8 @@ A minimizer with more distinct segments than ``hot_segments`` is refined: its wi
 by one by their own hash, and those with a lone hash fall away. The threshold grows with the
 number of segments, so at most ``HOT_KEYS`` minimizers are ever sent to the tasks.
 
-A document is told by its id and 19 bits of its text's hash, so rows that repeat an id with another
-text are kept apart. A null id counts as the largest.
+A document is told by its id and 83 bits of its text's hash (``m`` and the mark in ``place``, from
+two seeds), so any number of texts may share an id or have none. A null id counts as the largest.
 """
 
 from __future__ import annotations
@@ -125,16 +125,17 @@ def sources(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return documents.select(
         F.col(id_col).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(2**63 - 1)).cast("long").alias("d"),
+        F.xxhash64(F.lit(1), "text").alias("m"),  # the literal first: it changes the text's seed
         F.pmod(F.xxhash64("text"), F.lit(1 << 19)).alias("mark"))
 
 
-_ROW = "h long, s long, d long, place long"
+_ROW = "h long, s long, d long, m long, place long"
 
 
 def _segment_rows(kind: Kind):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d, mark = (batch.column(c).to_numpy() for c in ("d", "mark"))
+            d, m, mark = (batch.column(c).to_numpy() for c in ("d", "m", "mark"))
             for texts in chunks(batch.column("text")):
                 units = Units(texts, kind)
                 found = segments(units)
@@ -143,9 +144,9 @@ def _segment_rows(kind: Kind):
                     pa.array(found.key.view(np.int64)),
                     pa.array(units.range_hash(found.start, found.start + found.count + kind.width - 1)
                              .view(np.int64)),
-                    pa.array(d[row]),
+                    pa.array(d[row]), pa.array(m[row]),
                     pa.array(packed_place(mark[row], found.start - units.offsets[found.owner],
-                                          found.count))], ["h", "s", "d", "place"])
+                                          found.count))], ["h", "s", "d", "m", "place"])
     return emit
 
 
@@ -154,7 +155,7 @@ def _window_rows(kind: Kind, hot):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = hot.value
         for batch in batches:
-            d, mark = (batch.column(c).to_numpy() for c in ("d", "mark"))
+            d, m, mark = (batch.column(c).to_numpy() for c in ("d", "m", "mark"))
             for texts in chunks(batch.column("text")):
                 units = Units(texts, kind)
                 found = segments(units)
@@ -167,9 +168,10 @@ def _window_rows(kind: Kind, hot):
                 row = texts.first + owner
                 yield pa.RecordBatch.from_arrays([
                     pa.array(mix(content ^ np.repeat(found.key[told], count)).view(np.int64)),
-                    pa.array(content.view(np.int64)), pa.array(d[row]),
+                    pa.array(content.view(np.int64)), pa.array(d[row]), pa.array(m[row]),
                     pa.array(packed_place(mark[row], start - units.offsets[owner],
-                                          np.ones(len(start), np.int64)))], ["h", "s", "d", "place"])
+                                          np.ones(len(start), np.int64)))],
+                    ["h", "s", "d", "m", "place"])
     return emit
 
 
@@ -183,10 +185,11 @@ def _fetch(kind: Kind):
     """Units of the wanted segments of each text."""
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d, wanted = batch.column("d").to_numpy(), batch.column("wanted")
+            d, m = (batch.column(c).to_numpy() for c in ("d", "m"))
+            wanted = batch.column("wanted")
             for texts in chunks(batch.column("text")):
                 units = Units(texts, kind)
-                h, s, places, times, ids, content = [], [], [], [], [], []
+                h, s, places, times, ids, hashes, content = [], [], [], [], [], [], []
                 for i in range(texts.n):
                     own = wanted[texts.first + i].values
                     place = own.field("place").to_numpy()
@@ -198,9 +201,11 @@ def _fetch(kind: Kind):
                     places.append(place)
                     times.append(own.field("times").to_numpy())
                     ids.append(np.full(len(place), d[texts.first + i]))
+                    hashes.append(np.full(len(place), m[texts.first + i]))
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(c)) for c in (h, s, ids, places, times)],
-                     pa.array(content, pa.binary())], ["h", "s", "d", "place", "times", "content"])
+                    [*[pa.array(np.concatenate(c)) for c in (h, s, ids, hashes, places, times)],
+                     pa.array(content, pa.binary())],
+                    ["h", "s", "d", "m", "place", "times", "content"])
     return emit
 
 
@@ -212,12 +217,13 @@ Search = Callable[[np.ndarray, np.ndarray, np.ndarray, Kind], np.ndarray]
 def _search_shards(kind: Kind, search: Search):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in grouped(batches, ["shard"]):
-            d, place, times = (shard.column(c).to_numpy() for c in ("d", "place", "times"))
-            order = np.lexsort((place, d))  # the order of first occurrences
-            again = (d[order][1:] == d[order][:-1]) & (place[order][1:] == place[order][:-1])
+            d, m, place, times = (
+                shard.column(c).to_numpy() for c in ("d", "m", "place", "times"))
+            order = np.lexsort((place, m, d))  # the order of first occurrences
+            again = np.all([c[order][1:] == c[order][:-1] for c in (d, m, place)], axis=0)
             order = order[np.concatenate([[True], ~again])]  # of repeated rows one is enough
             content = shard.column("content").take(pa.array(order)).to_pylist()
-            d, place, times = d[order], place[order], times[order]
+            d, m, place, times = d[order], m[order], place[order], times[order]
             row = np.frombuffer(b"".join(content), np.uint8 if kind.unit == "bytes" else np.uint64)
             sizes = (place & 255) + kind.width - 1
             bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -233,22 +239,22 @@ def _search_shards(kind: Kind, search: Search):
             count = np.diff(np.append(first, len(starts)))
             starts, owner = starts[first], owner[first]
             yield pa.RecordBatch.from_arrays([
-                pa.array(d[owner]),
+                pa.array(d[owner]), pa.array(m[owner]),
                 pa.array(packed_place(place[owner] >> 44,
                                       place_start(place[owner]) + starts - bounds[owner], count))],
-                ["d", "place"])
+                ["d", "m", "place"])
     return emit
 
 
 def repeated_runs(texts: DataFrame, kind: Kind, search: Search, keep_first: bool,
                   hot_segments: int = HOT_SEGMENTS) -> DataFrame:
-    """(d, place) of runs of windows to remove; texts: d, mark, text (see ``sources``).
+    """(d, m, place) of runs of windows to remove; texts: d, m, mark, text (see ``sources``).
 
     ``keep_first``: windows of a first occurrence stay unless the shard search marks them; else
     all occurrences of a segment that occurs twice go.
     """
     spark = texts.sparkSession
-    base = texts.select("d", "mark", "text")
+    base = texts.select("d", "m", "mark", "text")
     # Found twice rather than stored: a row per segment of the corpus is more to write than to find.
     seen = stored(_repeated(base.mapInArrow(_segment_rows(kind), _ROW)), "repeated")
     distinct = stored(_distinct(seen), "distinct")
@@ -266,34 +272,35 @@ def repeated_runs(texts: DataFrame, kind: Kind, search: Search, keep_first: bool
         distinct = stored(_distinct(seen), "distinct")
     units = distinct.agg(F.sum(F.col("place").bitwiseAND(255) + kind.width - 1)).first()[0] or 0
     shards = max(1, -(-units // kind.shard_units))
-    wanted = distinct.groupBy("d", F.shiftright("place", 44).alias("mark")).agg(
+    wanted = distinct.groupBy("d", "m", F.shiftright("place", 44).alias("mark")).agg(
         F.collect_list(F.struct("h", "s", "place", "times")).alias("wanted"))
     # Rows that repeat an id and a text are one document here.
-    fetched = base.join(wanted, ["d", "mark"]).select("d", "text", "wanted").mapInArrow(
-        _fetch(kind), "h long, s long, d long, place long, times long, content binary")
+    fetched = base.join(wanted, ["d", "m", "mark"]).select("d", "m", "text", "wanted").mapInArrow(
+        _fetch(kind), "h long, s long, d long, m long, place long, times long, content binary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
     marked = (fetched.withColumn("shard", F.pmod(F.xxhash64("h", F.lit(3)), F.lit(shards)))
-              .select("shard", "d", "place", "times", "content")
+              .select("shard", "d", "m", "place", "times", "content")
               .repartition(parts, "shard").sortWithinPartitions("shard")
-              .mapInArrow(_search_shards(kind, search), "d long, place long"))
-    first = distinct.select("h", "s", "times", F.col("d").alias("d1"), F.col("place").alias("p1"))
+              .mapInArrow(_search_shards(kind, search), "d long, m long, place long"))
+    first = distinct.select("h", "s", "times", F.col("d").alias("d1"), F.col("m").alias("m1"),
+                            F.col("place").alias("p1"))
     copies = seen.join(first.where("times > 1"), ["h", "s"])
     if keep_first:
-        copies = copies.where("d <> d1 or place <> p1")
-    return stored(marked.unionByName(copies.select("d", "place")), "runs")
+        copies = copies.where("d <> d1 or m <> m1 or place <> p1")
+    return stored(marked.unionByName(copies.select("d", "m", "place")), "runs")
 
 
 def _distinct(seen: DataFrame) -> DataFrame:
     return seen.groupBy("h", "s").agg(
-        F.min(F.struct("d", "place")).alias("first"), F.count("*").alias("times")).select(
-        "h", "s", "first.d", "first.place", "times")
+        F.min(F.struct("d", "m", "place")).alias("first"), F.count("*").alias("times")).select(
+        "h", "s", "first.d", "first.m", "first.place", "times")
 
 
 def with_runs(texts: DataFrame, runs: DataFrame) -> DataFrame:
     """(doc_id, text, runs: array of places) of every document."""
-    by_text = runs.groupBy("d", F.shiftright("place", 44).alias("mark")).agg(
+    by_text = runs.groupBy("d", "m", F.shiftright("place", 44).alias("mark")).agg(
         F.collect_list("place").alias("runs"))
-    return texts.join(by_text, ["d", "mark"], "left").select("doc_id", "text", "runs")
+    return texts.join(by_text, ["d", "m", "mark"], "left").select("doc_id", "text", "runs")
 
 
 def removed_units(units: Units, i: int, places, kind: Kind) -> np.ndarray:

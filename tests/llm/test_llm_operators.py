@@ -147,6 +147,23 @@ def test_suffix_dedup(docs, hot):
         (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got)
 
 
+@pytest.mark.parametrize("run", [substring_dedup.dedup_substrings, suffix_dedup.dedup_bytes])
+def test_many_texts_without_id(spark, run):
+    # Every other text without an id also stands in a row with one; the others are clean.
+    texts = [prose(10_000 + i, 40, 10**6) for i in range(4000)]
+    rows = [(None, t) for t in texts] + [(i, texts[i]) for i in range(0, 4000, 2)]
+    marks = collections.defaultdict(set)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in table.where("doc_id is null").select(
+            "text", F.pmod(F.xxhash64("text"), F.lit(1 << 19)).alias("mark")).collect():
+        marks[r.mark].add(texts.index(r.text) % 2)
+    assert any(len(m) == 2 for m in marks.values())  # a clean text shares 19 bits with another
+    want = collections.Counter((None, b"" if i % 2 == 0 else t.encode()) for i, t in enumerate(texts))
+    first = run is substring_dedup.dedup_substrings  # there the first occurrence stays
+    want.update((i, texts[i].encode() if first else b"") for i in range(0, 4000, 2))
+    assert want == collections.Counter((r.doc_id, bytes(r.kept)) for r in run(table).collect())
+
+
 def test_bucket_pointers_order_suffixes():
     row = np.frombuffer(("banana" * 20 + "bandana").encode(), np.uint8)
     order, _ = suffix_dedup.bucket_pointers(row, len(row))
