@@ -1,16 +1,22 @@
 """Language-model scoring by masked pseudo-likelihood.
 
-Every token is predicted from the ``REACH`` words on both sides. A word belongs to one of
-``BUCKETS`` hash buckets, a bucket to one of ``CLASSES`` classes: frequent buckets have a class of
-their own, the rest share the others evenly. A small network (one embedding per place and class,
-summed, tanh, softmax) gives the class of the middle word; the bucket's share of its class, counted
+Every token is predicted from the ``REACH`` words on both sides. All words are counted exactly, as a
+Spark table (word, n). With V distinct words, the ``OWN`` x sqrt(V) most frequent have a class of
+their own; the rest share sqrt(V) classes, each a range of frequencies. A small network (one
+embedding per place and class, summed, tanh, softmax over groups of classes and then over the
+classes of the group) gives the class of the middle word; the word's share of its class, counted
 over the whole corpus, gives the rest. A document's score is the sum of the log-probabilities of
 its tokens.
 
-Counts cover all documents. Training covers all documents too: each task runs stochastic gradient
-descent in numpy over its own texts from the same start, and the tasks' parameters are averaged by
-Spark, weighted by tokens, one row per block of parameters; ``ROUNDS`` such rounds follow each other.
-The model has a fixed size, so it can be sent to the tasks however large the corpus is.
+Texts are dealt to blocks of about a megabyte. Spark joins the distinct words of each block with the
+table of words, and each block is encoded with its own words only, so the table of words is never
+sent to a task or gathered. What is gathered and sent are the classes' parameters, about
+``(2 * REACH + 1) * HIDDEN * (OWN + 1) * sqrt(V)`` numbers, the words with a class of their own and
+the distinct frequencies.
+
+Training covers all documents: each task runs stochastic gradient descent in numpy over its own
+texts from the same start, and the tasks' parameters are averaged by Spark, weighted by tokens, one
+row per block of parameters; ``ROUNDS`` such rounds follow each other.
 
 Cases: a null or empty text has no tokens and a score of 0 (its mean is null); repeated rows score
 alike and count twice; a one-word text is predicted from empty sides; an empty table gives an empty
@@ -19,18 +25,18 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.textbatch import Texts, chunks, per_text
+from shelfmark.llm.storage import stored
+from shelfmark.llm.textbatch import chunks, per_text
 
-BUCKETS = 1 << 17
-CLASSES = 64               # class 0 stands for places outside the text
-OWN_CLASSES = 32           # classes of one frequent bucket
+OWN = 4                    # times sqrt(V): classes of one frequent word
+LEAST_CLASSES = 32         # of either sort
 REACH = 2
 HIDDEN = 16
 ROUNDS = 1
@@ -39,89 +45,208 @@ RATE = 2.0
 BLOCK = 1024               # parameters per row when tasks are averaged
 
 
-@dataclass
-class Vocabulary:
-    """Class of each bucket, and the log share of the bucket in its class."""
-    classes: np.ndarray
-    log_share: np.ndarray
-
-
-def _buckets(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    words = texts.words()
-    return (words.hashes() >> np.uint64(47)).astype(np.int64), words.offsets
+def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of its block for every row."""
+    for batch in batches:
+        for texts in chunks(batch.column("text")):
+            rows = batch.slice(texts.first, texts.n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(texts.n, rows.column("row")[0].as_py(), np.int64)),
+                 rows.column("doc_id"), rows.column("text")], ["block", "doc_id", "text"])
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, np.int64)
+    """The words of each block; a block that lies in two batches comes twice."""
     for batch in batches:
-        for texts in chunks(batch.column("text")):
-            total += np.bincount(_buckets(texts)[0], minlength=BUCKETS)
-    there = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["bucket", "n"])
-
-
-def vocabulary(texts: DataFrame) -> Vocabulary:
-    """Count all words by bucket (at most ``BUCKETS`` sums) and deal the buckets to classes."""
-    found = (texts.select("text").mapInArrow(_counted, "bucket long, n long")
-             .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow())
-    counts = np.zeros(BUCKETS)
-    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-    counts += 0.5  # buckets that no word has fallen into
-    order = np.argsort(-counts, kind="stable")
-    classes = np.empty(BUCKETS, np.int64)
-    classes[order[:OWN_CLASSES]] = 1 + np.arange(OWN_CLASSES)
-    rest = CLASSES - 1 - OWN_CLASSES
-    classes[order[OWN_CLASSES:]] = 1 + OWN_CLASSES + np.arange(BUCKETS - OWN_CLASSES) % rest
-    mass = np.bincount(classes, counts, CLASSES)
-    return Vocabulary(classes.astype(np.int32), np.log(counts / mass[classes]).astype(np.float32))
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            for texts in chunks(batch.column("text").slice(low, high - low)):
+                words, raw = texts.words(), texts.data.tobytes()
+                _, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), block[low], np.int64)),
+                     pa.array([raw[a:b] for a, b in zip(words.starts[first].tolist(),
+                                                        words.ends[first].tolist())], pa.binary()),
+                     pa.array(n.astype(np.int64))], ["block", "word", "n"])
+
+
+def vocabulary(words: DataFrame) -> tuple[DataFrame, int]:
+    """(word, class, log_share) of every word, and the number of classes; words: word, n.
+
+    Class 0 stands for places outside the text.
+    """
+    spark = words.sparkSession
+    counts = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    root = math.isqrt(counts.count())
+    own, ranges = max(LEAST_CLASSES, OWN * root), max(LEAST_CLASSES, root)
+    often = [(r["word"], i + 1) for i, r in enumerate(
+        counts.orderBy(F.desc("n"), "word").limit(own).collect())]
+    frequent = spark.createDataFrame(often, "word binary, class int")
+    rest = counts.join(frequent, "word", "left_anti")
+    # Ranks of the others: by frequency, words of one frequency by hash.
+    sizes = rest.groupBy("n").agg(F.count("*").alias("size")).orderBy(F.desc("n")).collect()
+    ends = np.cumsum([r["size"] for r in sizes], dtype=np.int64).tolist()
+    ranks = spark.createDataFrame([(r["n"], r["size"], e - r["size"]) for r, e in zip(sizes, ends)],
+                                  "n long, size long, before long")
+    rank = F.col("before") + F.pmod(F.xxhash64("word"), F.col("size"))
+    told = counts.join(frequent, "word").select("word", "n", "class").unionByName(
+        rest.join(F.broadcast(ranks), "n").select("word", "n", (F.lit(1 + own) + F.floor(
+            rank * ranges / F.lit(ends[-1] if ends else 1))).cast("int").alias("class")))
+    told = stored(told, "classes")
+    mass = told.groupBy("class").agg(F.sum("n").alias("mass"))
+    return told.join(mass, "class").select(
+        "word", "class", F.log(F.col("n") / F.col("mass")).alias("log_share")), 1 + own + ranges
+
+
+def _encoded(id_type: pa.DataType):
+    """Classes and summed log shares of the texts of one block, from the words of the block."""
+    def encode(texts: pa.Table, words: pa.Table) -> pa.Table:
+        hashes, column = [], pa.array(words.column("word").combine_chunks().cast(pa.string()))
+        for part in chunks(column):
+            hashes.append(part.words().hashes())
+        known = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        order = np.argsort(known)
+        known = known[order]
+        named = words.column("class").to_numpy()[order]
+        shares = words.column("log_share").to_numpy()[order]
+        n, share, classes = [], [], []
+        for part in chunks(texts.column("text").combine_chunks()):
+            found = part.words()
+            place = np.searchsorted(known, found.hashes())
+            own, offsets = named[place].astype(np.int32), found.offsets
+            n += np.diff(offsets).tolist()
+            share += per_text(shares[place].astype(np.float64), offsets).tolist()
+            classes += [own[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+        return pa.table([texts.column("doc_id").cast(id_type), pa.array(n, pa.int64()),
+                         pa.array(share, pa.float64()), pa.array(classes, pa.binary())],
+                        ["doc_id", "n", "share", "classes"])
+    return encode
+
+
+def encoded(source: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, n, share, classes) of every document, and the number of classes."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = source.schema["doc_id"].dataType
+    texts = stored(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _dealt, f"block long, doc_id {kind.simpleString()}, text string"), "texts")
+    words = stored(texts.select("block", "text").mapInArrow(
+        _counted, "block long, word binary, n long"), "words")
+    table, classes = vocabulary(words)
+    named = words.select("block", "word").join(table, "word")
+    out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(
+        _encoded(to_arrow_type(kind)),
+        f"doc_id {kind.simpleString()}, n long, share double, classes binary")
+    return stored(out, "encoded"), classes
+
+
+def _tokens(batch: pa.RecordBatch, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, classes and offsets of runs of about ``limit`` tokens."""
+    counts = batch.column("n").to_numpy()
+    ends, at = np.cumsum(counts), 0
+    while at < len(counts):
+        before = ends[at] - counts[at]
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        raw = b"".join(batch.column("classes").slice(at, to - at).to_pylist())
+        yield at, np.frombuffer(raw, np.int32), np.concatenate([[0], ends[at:to] - before])
+        at = to
 
 
 class Network:
-    """Places x classes embeddings, hidden bias, output weights and output bias."""
+    """Places x classes embeddings, hidden bias; weights and biases of the groups of classes and of
+    the classes of each group."""
+
+    def __init__(self, flat: np.ndarray, classes: int):
+        groups, width = self.shape(classes)
+        self.flat, self.width, at = flat, width, 0
+
+        def take(*shape):
+            nonlocal at
+            at += math.prod(shape)
+            return flat[at - math.prod(shape):at].reshape(shape)
+
+        self.embed = take(2 * REACH, classes, HIDDEN)
+        self.lean = take(HIDDEN)
+        self.top, self.top_base = take(HIDDEN, groups), take(groups)
+        self.low, self.low_base = take(groups, HIDDEN, width), take(groups, width)
+
+    @staticmethod
+    def shape(classes: int) -> tuple[int, int]:
+        width = math.isqrt(classes - 1) + 1
+        return -(-classes // width), width
 
-    def __init__(self, flat: np.ndarray):
-        a = 2 * REACH * CLASSES * HIDDEN
-        self.flat = flat
-        self.embed = flat[:a].reshape(2 * REACH, CLASSES, HIDDEN)
-        self.lean = flat[a:a + HIDDEN]
-        self.out = flat[a + HIDDEN:a + HIDDEN + HIDDEN * CLASSES].reshape(HIDDEN, CLASSES)
-        self.base = flat[a + HIDDEN + HIDDEN * CLASSES:]
+    @staticmethod
+    def start(classes: int) -> np.ndarray:
+        groups, width = Network.shape(classes)
+        size = (2 * REACH * classes * HIDDEN + HIDDEN + (HIDDEN + 1) * groups
+                + (HIDDEN + 1) * groups * width)
+        flat = np.random.default_rng(11).normal(0, 0.1, size).astype(np.float32)
+        base = Network(flat, classes).low_base.reshape(-1)
+        base[0] = base[classes:] = -1e4  # no word is of these classes
+        return flat
 
     @staticmethod
-    def start() -> np.ndarray:
-        size = 2 * REACH * CLASSES * HIDDEN + HIDDEN + HIDDEN * CLASSES + CLASSES
-        return np.random.default_rng(11).normal(0, 0.1, size).astype(np.float32)
+    def _softmax(scores: np.ndarray) -> np.ndarray:
+        scores -= scores.max(1, keepdims=True)
+        np.exp(scores, out=scores)
+        scores /= scores.sum(1, keepdims=True)
+        return scores
 
-    def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and class probabilities; around: tokens x places."""
+    def forward(self, around: np.ndarray, target: np.ndarray):
+        """Hidden values, chances of the groups and of the classes of the target's group, and the
+        runs of equal groups; tokens must come in the order of their target's group."""
         hidden = self.lean + self.embed[0][around[:, 0]]
         for p in range(1, 2 * REACH):
             hidden += self.embed[p][around[:, p]]
         np.tanh(hidden, out=hidden)
-        scores = hidden @ self.out
-        scores += self.base
-        scores -= scores.max(1, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(1, keepdims=True)
-        return hidden, scores
+        groups = self._softmax(hidden @ self.top + self.top_base)
+        group = target // self.width
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+        runs = [(int(group[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])]
+        scores = np.empty((len(target), self.width), np.float32)
+        for g, a, b in runs:
+            np.matmul(hidden[a:b], self.low[g], out=scores[a:b])
+            scores[a:b] += self.low_base[g]
+        return hidden, groups, self._softmax(scores), runs
+
+    def log_chance(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        out = np.empty(len(target))
+        for low in range(0, len(target), 8192):
+            order = low + np.argsort(target[low:low + 8192], kind="stable")
+            own = target[order]
+            _, groups, leaves, _ = self.forward(around[order], own)
+            rows = np.arange(len(own))
+            chance = groups[rows, own // self.width].astype(np.float64)
+            out[order] = np.log(np.maximum(chance * leaves[rows, own % self.width], 1e-30))
+        return out
 
     def learn(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        hidden, fault = self.forward(around)
-        n = len(target)
-        fault[np.arange(n), target] -= 1
+        order = np.argsort(target, kind="stable")
+        around, target = around[order], target[order]
+        hidden, fault, leaf, runs = self.forward(around, target)
+        n, rows = len(target), np.arange(len(target))
+        fault[rows, target // self.width] -= 1
+        leaf[rows, target % self.width] -= 1
         fault *= rate / n
-        back = fault @ self.out.T
-        self.out -= hidden.T @ fault
-        self.base -= fault.sum(0)
+        leaf *= rate / n
+        back = fault @ self.top.T
+        for g, a, b in runs:
+            back[a:b] += leaf[a:b] @ self.low[g].T
+            self.low[g] -= hidden[a:b].T @ leaf[a:b]
+            self.low_base[g] -= leaf[a:b].sum(0)
+        self.top -= hidden.T @ fault
+        self.top_base -= fault.sum(0)
         back *= 1 - hidden * hidden
         self.lean -= back.sum(0)
-        # Sums of the gradients by place and class, as one product with indicator columns.
-        marks = np.zeros((n, CLASSES), np.float32)
-        rows = np.arange(n)
+        # Sums of the gradients by place and class.
         for p in range(2 * REACH):
-            marks[rows, around[:, p]] = 1
-            self.embed[p] -= marks.T @ back
-            marks[rows, around[:, p]] = 0
+            order = np.argsort(around[:, p], kind="stable")
+            own = around[order, p]
+            first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+            self.embed[p][own[first]] -= np.add.reduceat(back[order], first, axis=0)
 
 
 def _windows(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -137,27 +262,35 @@ def _windows(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return around
 
 
-def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Parameters after ``rounds`` rounds of local descent and averaging over all tasks."""
-    context, flat = texts.sparkSession.sparkContext, Network.start()
+def _average(rows: pa.Table) -> pa.Table:
+    """The weighted mean of one block of parameters."""
+    seen = rows.column("seen").to_numpy()
+    values = rows.column("values").combine_chunks().values.to_numpy().reshape(len(seen), -1)
+    return pa.table([rows.column("block").slice(0, 1), pa.array([int(seen.sum())], pa.int64()),
+                     pa.array([values.sum(0) / seen.sum()], pa.list_(pa.float64()))],
+                    ["block", "seen", "values"])
+
+
+def train(texts: DataFrame, classes: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters after ``rounds`` rounds of local descent and averaging over all tasks.
+
+    texts: n, classes (see ``encoded``).
+    """
+    context, flat = texts.sparkSession.sparkContext, Network.start(classes)
     for turn in range(rounds):
-        given = context.broadcast((words, flat))
+        given = context.broadcast(flat)
 
         def descend(batches, given=given, turn=turn):
-            words, flat = given.value
-            net, seen = Network(flat.copy()), 0
+            net, seen = Network(given.value.copy(), classes), 0
             for batch in batches:
-                for part in chunks(batch.column("text")):
-                    buckets, offsets = _buckets(part)
-                    classes = words.classes[buckets]
-                    around = _windows(classes, offsets)
+                for _, own, offsets in _tokens(batch):
+                    around = _windows(own, offsets)
                     # Tokens of one text should not follow each other in the descent.
-                    order = np.random.default_rng(len(classes)).permutation(len(classes))
+                    order = np.random.default_rng(len(own)).permutation(len(own))
                     for low in range(0, len(order), BATCH):
-                        own = order[low:low + BATCH]
-                        seen += len(own)
-                        net.learn(around[own], classes[own],
-                                  RATE / (1 + turn) * len(own) / BATCH)
+                        part = order[low:low + BATCH]
+                        seen += len(part)
+                        net.learn(around[part], own[part], RATE / (1 + turn) * len(part) / BATCH)
             if seen:
                 blocks = range(0, len(net.flat), BLOCK)
                 yield pa.RecordBatch.from_arrays(
@@ -166,43 +299,33 @@ def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> np.ndarr
                      pa.array([net.flat[b:b + BLOCK].astype(np.float64) * seen for b in blocks],
                               pa.list_(pa.float64()))], ["block", "seen", "values"])
 
-        rows = (texts.select("text").mapInArrow(descend, "block long, seen long, values array<double>")
-                .select("block", "seen", F.posexplode("values").alias("place", "value"))
-                .groupBy("block", "place").agg((F.sum("value") / F.sum("seen")).alias("value"))
-                .toArrow())
+        schema = "block long, seen long, values array<double>"
+        rows = (texts.select("n", "classes").mapInArrow(descend, schema)
+                .groupBy("block").applyInArrow(_average, schema).toArrow())
         flat = flat.copy()
-        place = rows.column("block").to_numpy() * BLOCK + rows.column("place").to_numpy()
-        flat[place] = rows.column("value").to_numpy()
+        for block, values in zip(rows.column("block").to_pylist(), rows.column("values")):
+            flat[block * BLOCK:(block + 1) * BLOCK] = values.values.to_numpy()
     return flat
 
 
 def score_documents(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document."""
-    source = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    words = vocabulary(source)
-    model = source.sparkSession.sparkContext.broadcast((words, train(source, words, rounds)))
+    source, classes = encoded(documents.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    model = source.sparkSession.sparkContext.broadcast(train(source, classes, rounds))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, flat = model.value
-        net = Network(flat)
+        net = Network(model.value, classes)
         for batch in batches:
-            for part in chunks(batch.column("text")):
-                buckets, offsets = _buckets(part)
-                classes = words.classes[buckets]
-                around = _windows(classes, offsets)
-                logs = words.log_share[buckets].astype(np.float64)
-                for low in range(0, len(classes), 8192):
-                    own = slice(low, low + 8192)
-                    _, chance = net.forward(around[own])
-                    logs[own] += np.log(np.maximum(
-                        chance[np.arange(len(chance)), classes[own]], 1e-30))
-                total, n = per_text(logs, offsets), np.diff(offsets)
-                rows = slice(part.first, part.first + part.n)
-                mean = total / np.maximum(n, 1)
+            for first, own, offsets in _tokens(batch):
+                n = np.diff(offsets)
+                rows = batch.slice(first, len(n))
+                total = (per_text(net.log_chance(_windows(own, offsets), own), offsets)
+                         + rows.column("share").to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[rows], pa.array(n.astype(np.int64)), pa.array(total),
-                     pa.array(mean, mask=n == 0)],
+                    [rows.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(total),
+                     pa.array(total / np.maximum(n, 1), mask=n == 0)],
                     ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
     kind = source.schema["doc_id"].dataType.simpleString()

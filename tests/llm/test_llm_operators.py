@@ -274,6 +274,25 @@ def test_masked_lm(spark, docs):
     assert scored[0] > scored[999] + 0.3
 
 
+def test_masked_lm_classes_follow_the_words(spark):
+    # 20,000 words: in 2**17 buckets of a hash some 1,500 pairs of them would count as one.
+    rows = [(i, " ".join(f"w{(53 * i + j) % 20_000}" for j in range(200))) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    encoded, classes = masked_lm.encoded(table)
+    assert classes > 5 * 140  # 5 * sqrt of the words; 64 before
+    assert encoded.count() == 400
+    counts = collections.Counter(w for _, t in rows for w in t.split())
+    words = spark.createDataFrame([(w.encode(), n) for w, n in counts.items()], "word binary, n long")
+    told = masked_lm.vocabulary(words)[0].collect()
+    assert {bytes(r.word) for r in told} == {w.encode() for w in counts}
+    mass = collections.Counter()
+    for r in told:
+        mass[r["class"]] += counts[bytes(r.word).decode()]
+    for r in told:
+        assert r.log_share == pytest.approx(
+            np.log(counts[bytes(r.word).decode()] / mass[r["class"]]))
+
+
 def normal_shingles(text):
     w = words(re.sub(r"[^\w\s]|_", "", (text or "").lower()))
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
