@@ -16,7 +16,9 @@ the distinct frequencies.
 
 Training covers all documents: each task runs stochastic gradient descent in numpy over its own
 texts from the same start, and the tasks' parameters are averaged by Spark, weighted by tokens, one
-row per block of parameters; ``ROUNDS`` such rounds follow each other.
+row per block of parameters. Rounds follow each other, at least ``LEAST_ROUNDS``, until the averaged
+parameters' loss over all documents falls by less than ``TOLERANCE``. A round has a task for every
+``TASK_TOKENS`` tokens, however many partitions the input has, so no task takes only a few steps.
 
 Cases: a null or empty text has no tokens and a score of 0 (its mean is null); repeated rows score
 alike and count twice; a one-word text is predicted from empty sides; an empty table gives an empty
@@ -39,7 +41,9 @@ OWN = 4                    # times sqrt(V): classes of one frequent word
 LEAST_CLASSES = 32         # of either sort
 REACH = 2
 HIDDEN = 16
-ROUNDS = 1
+LEAST_ROUNDS = 4
+TOLERANCE = 0.002          # share of the loss that a further round has to save
+TASK_TOKENS = 500_000
 BATCH = 512
 RATE = 2.0
 BLOCK = 1024               # parameters per row when tasks are averaged
@@ -267,24 +271,32 @@ def _average(rows: pa.Table) -> pa.Table:
     seen = rows.column("seen").to_numpy()
     values = rows.column("values").combine_chunks().values.to_numpy().reshape(len(seen), -1)
     return pa.table([rows.column("block").slice(0, 1), pa.array([int(seen.sum())], pa.int64()),
+                     pa.array([rows.column("lost").to_numpy().sum()], pa.float64()),
                      pa.array([values.sum(0) / seen.sum()], pa.list_(pa.float64()))],
-                    ["block", "seen", "values"])
+                    ["block", "seen", "lost", "values"])
 
 
-def train(texts: DataFrame, classes: int, rounds: int = ROUNDS) -> np.ndarray:
+def train(texts: DataFrame, classes: int, rounds: int | None = None) -> np.ndarray:
     """Parameters after ``rounds`` rounds of local descent and averaging over all tasks.
 
-    texts: n, classes (see ``encoded``).
+    texts: n, classes (see ``encoded``). Without ``rounds``: until the loss stops falling.
     """
     context, flat = texts.sparkSession.sparkContext, Network.start(classes)
-    for turn in range(rounds):
+    tokens = texts.agg(F.sum("n")).first()[0] or 0
+    # Without a shuffle; more tasks than partitions are not made.
+    texts = texts.select("n", "classes").coalesce(max(1, -(-tokens // TASK_TOKENS)))
+    turn, last, before = 0, math.inf, flat
+    while tokens and (rounds is None or turn < rounds):
         given = context.broadcast(flat)
 
         def descend(batches, given=given, turn=turn):
             net, seen = Network(given.value.copy(), classes), 0
+            start, lost = Network(given.value, classes), 0.0
             for batch in batches:
                 for _, own, offsets in _tokens(batch):
                     around = _windows(own, offsets)
+                    if rounds is None:
+                        lost -= float(start.log_chance(around, own).sum())
                     # Tokens of one text should not follow each other in the descent.
                     order = np.random.default_rng(len(own)).permutation(len(own))
                     for low in range(0, len(order), BATCH):
@@ -296,20 +308,25 @@ def train(texts: DataFrame, classes: int, rounds: int = ROUNDS) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b // BLOCK for b in blocks], pa.int64()),
                      pa.array([seen] * len(blocks), pa.int64()),
+                     pa.array([lost] * len(blocks), pa.float64()),
                      pa.array([net.flat[b:b + BLOCK].astype(np.float64) * seen for b in blocks],
-                              pa.list_(pa.float64()))], ["block", "seen", "values"])
+                              pa.list_(pa.float64()))], ["block", "seen", "lost", "values"])
 
-        schema = "block long, seen long, values array<double>"
-        rows = (texts.select("n", "classes").mapInArrow(descend, schema)
+        schema = "block long, seen long, lost double, values array<double>"
+        rows = (texts.mapInArrow(descend, schema)
                 .groupBy("block").applyInArrow(_average, schema).toArrow())
-        flat = flat.copy()
+        # The loss of the parameters that this round has started from.
+        loss = rows.column("lost")[0].as_py()
+        if rounds is None and turn >= LEAST_ROUNDS and loss > last * (1 - TOLERANCE):
+            return flat if loss <= last else before
+        last, before, flat, turn = loss, flat, flat.copy(), turn + 1
         for block, values in zip(rows.column("block").to_pylist(), rows.column("values")):
             flat[block * BLOCK:(block + 1) * BLOCK] = values.values.to_numpy()
     return flat
 
 
 def score_documents(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = ROUNDS) -> DataFrame:
+                    rounds: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document."""
     source, classes = encoded(documents.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))

@@ -274,6 +274,17 @@ def test_masked_lm(spark, docs):
     assert scored[0] > scored[999] + 0.3
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_masked_lm_defaults_learn_order(spark, parts):
+    rows = [(i, " ".join(["red", "green", "blue"] * 40)) for i in range(400)]
+    mixed = ["red", "green", "blue"] * 40
+    random.Random(1).shuffle(mixed)
+    rows.append((999, " ".join(mixed)))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    scored = {r.doc_id: r.mean_log_likelihood for r in masked_lm.score_documents(table).collect()}
+    assert scored[0] > scored[999] + 0.3
+
+
 def test_masked_lm_classes_follow_the_words(spark):
     # 20,000 words: in 2**17 buckets of a hash some 1,500 pairs of them would count as one.
     rows = [(i, " ".join(f"w{(53 * i + j) % 20_000}" for j in range(200))) for i in range(400)]
