@@ -1,10 +1,13 @@
 """Benchmark decontamination: containment search for short test items inside long documents.
 
 Words are compared in lower case without punctuation; a shingle is five of them. Test items are
-partitioned by size: an item of up to c shingles (c = 8, 16, 32, ...) is searched in windows of 2c
-shingles that start every c, so that it makes up a fair share of some window however long the
-document is. A window is a candidate for an item when any of ``HASHES`` MinHash values agrees; at a
-containment of 0.8 the chance that none does is below 1e-5. Every candidate is then verified
+partitioned by size: an item of five shingles and more, up to c (c = 8, 16, 32, ...), is searched in
+windows of 2c shingles that start every c, so that it makes up a fair share of some window however
+long the document is. A window is a candidate for an item when any of ``HASHES`` MinHash values
+agrees: if s of an item's n shingles stand in one window, none does with a chance of
+(1 - s / (2c + n - s)) ** 64, which is 3.5e-8 for n = 5 and s = 4, and below 1.4e-6 for large n and
+s = 0.8 n. Items of up to ``LOOKED_UP`` shingles, too small a share of such a window, are candidates
+wherever any of their shingles stands, so none of them is missed. Every candidate is then verified
 against the whole document by exact shingle containment.
 
 Documents are scanned where they lie, without a shuffle; the items go to the tasks in blocks of
@@ -31,6 +34,7 @@ SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
 HASHES = 64
 BASE_WINDOW = 8            # shingles between window starts in the smallest size class
+LOOKED_UP = 4              # items of so many shingles are found by the shingles themselves
 BLOCK_ITEMS = 10_000       # test items per scan
 
 _MAPS = permutations(HASHES, 7)
@@ -56,6 +60,8 @@ class Items:
     ids: pa.Array
     sets: list[np.ndarray]   # distinct shingle hashes of each item
     classes: list[SizeClass]
+    short: np.ndarray        # sorted shingle hashes of the items that are looked up
+    short_owners: np.ndarray
 
 
 def _distinct_shingles(texts: list[str]) -> list[np.ndarray]:
@@ -69,7 +75,11 @@ def _distinct_shingles(texts: list[str]) -> list[np.ndarray]:
 def index_items(ids: pa.Array, texts: list[str]) -> Items:
     sets = _distinct_shingles(texts)
     classes, span = [], BASE_WINDOW
-    left = [i for i, s in enumerate(sets) if len(s)]
+    few = [i for i, s in enumerate(sets) if 0 < len(s) <= LOOKED_UP]
+    short = np.concatenate([np.zeros(0, np.uint64), *[sets[i] for i in few]])
+    owners = np.repeat(np.array(few, np.int64), [len(sets[i]) for i in few])
+    by_hash = np.argsort(short, kind="stable")
+    left = [i for i, s in enumerate(sets) if len(s) > LOOKED_UP]
     while left:
         now = [i for i in left if len(sets[i]) <= span]
         left = [i for i in left if len(sets[i]) > span]
@@ -83,7 +93,7 @@ def index_items(ids: pa.Array, texts: list[str]) -> Items:
                 filters[i, values[i] >> np.uint32(32 - _FILTER_BITS)] = True
             classes.append(SizeClass(span, filters, list(values), list(np.array(now)[order])))
         span *= 2
-    return Items(ids, sets, classes)
+    return Items(ids, sets, classes, short[by_hash], owners[by_hash])
 
 
 def _pair_up(blocks: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,14 +106,11 @@ def _pair_up(blocks: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.minimum.reduceat(blocks, starts, axis=1), new
 
 
-def find_items(texts: Texts, items: Items, threshold: float) -> Iterator[tuple[int, int, int]]:
-    """(text number, item number, shared shingles) of all verified matches."""
-    hashes, offsets = shingles(texts.words(), SHINGLE_WORDS)
-    if not len(hashes) or not items.classes:
-        return
+def _window_candidates(hashes: np.ndarray, offsets: np.ndarray, items: Items) -> list[np.ndarray]:
+    """(text number, item number) pairs of which a window and an item agree in a MinHash value."""
     counts = -(-np.diff(offsets) // BASE_WINDOW)
     blocks_at = np.concatenate([[0], np.cumsum(counts)])
-    owner = np.repeat(np.arange(texts.n), counts)
+    owner = np.repeat(np.arange(len(counts)), counts)
     starts = offsets[:-1][owner] + BASE_WINDOW * (np.arange(blocks_at[-1]) - blocks_at[:-1][owner])
     blocks = minima(hashes, starts, _MAPS)
     span, found = BASE_WINDOW, []
@@ -111,7 +118,7 @@ def find_items(texts: Texts, items: Items, threshold: float) -> Iterator[tuple[i
         while span < group.span:
             blocks, blocks_at = _pair_up(blocks, blocks_at)
             span *= 2
-        owner = np.repeat(np.arange(texts.n), np.diff(blocks_at))
+        owner = np.repeat(np.arange(len(counts)), np.diff(blocks_at))
         # A window is a block and the next one of the same text.
         windows = blocks.copy()
         joined = np.flatnonzero(owner[1:] == owner[:-1])
@@ -127,6 +134,25 @@ def find_items(texts: Texts, items: Items, threshold: float) -> Iterator[tuple[i
             if len(hit):
                 place = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
                 found.append(np.stack([np.repeat(owner[hit], size), group.owners[i][place]]))
+    return found
+
+
+def find_items(texts: Texts, items: Items, threshold: float) -> Iterator[tuple[int, int, int]]:
+    """(text number, item number, shared shingles) of all verified matches."""
+    hashes, offsets = shingles(texts.words(), SHINGLE_WORDS)
+    if not len(hashes):
+        return
+    found = []
+    low = np.searchsorted(items.short, hashes, "left")
+    size = np.searchsorted(items.short, hashes, "right") - low
+    hit = np.flatnonzero(size)
+    if len(hit):
+        low, size = low[hit], size[hit]
+        place = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        owner = np.searchsorted(offsets, hit, "right") - 1
+        found.append(np.stack([np.repeat(owner, size), items.short_owners[place]]))
+    if items.classes:
+        found += _window_candidates(hashes, offsets, items)
     if not found:
         return
     pairs = np.unique(np.concatenate(found, axis=1), axis=1)

@@ -332,6 +332,20 @@ def test_decontamination(spark, docs, block):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    # 5,000 items of one to four shingles, each whole in one long text: every one is found.
+    texts = [prose(50_000 + i, 1000, 10**6) for i in range(50)]
+    items = []
+    for i, text in enumerate(texts):
+        w = text.split(" ")
+        items += [(100 * i + j, " ".join(w[9 * j:9 * j + 5 + j % 4])) for j in range(100)]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(i // 100, i) for i in range(5000)}
+    assert all(r.n_shared == r.n_item == 1 + r.item_id % 100 % 4 for r in found)
+
+
 def test_warc_round_trip(spark):
     rows = [(5, "http://a", "<p>one</p>"), (2, "http://b", "<p>one</p>"), (3, None, ""), (4, "u\r\nx", None),
             (7, "http://c", "é" * 200_000), (7, "http://c", "é" * 200_000), (8, "http://d", "<p>two</p>"),
