@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfmark.llm import (
-    bpe, decontaminate, jaccard_join, masked_lm, pii, quality, secret_scan, substring_dedup,
-    suffix_dedup, warc)
+    alignment, bpe, decontaminate, hard_negatives, jaccard_join, masked_lm, pii, quality, secret_scan,
+    substring_dedup, suffix_dedup, tree_quality, warc)
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -65,10 +65,29 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_tree_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return tree_quality.score_documents(documents, tree_quality.train(documents, labels))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("vec_id")
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, is_anchor=F.col("id") % 50 == 0)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_byte_bpe, op3_substring_dedup, op4_secret_scan, op5_personal_data,
-        op6_masked_lm, op7_decontamination, op8_warc, op9_jaccard_join, op10_suffix_dedup)}
+        op6_masked_lm, op7_decontamination, op8_warc, op9_jaccard_join, op10_suffix_dedup, op11_tree_quality,
+        op12_hard_negatives, op13_tokenizer_alignment)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -139,4 +158,23 @@ ORACLES = {
                 d.doc_id)) as class_id,
             (select count(*) from links where a = d.doc_id) as n_links
         from docs d""",
+    "op12_hard_negatives": """
+        with e as (
+            select vec_id, [floor(256 * x::double) for x in embedding] as q,
+                case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+            from embeddings where vec_id is not null and label is not null and embedding is not null
+                and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+        scored as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                list_inner_product(a.q, b.q)::bigint as score
+            from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select anchor_id, positive_id, (row_number() over best)::int as rank, vec_id as negative_id,
+            positive_score, score as negative_score
+        from positives join scored using (anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        window best as (partition by anchor_id, positive_id order by score desc, vec_id)
+        qualify rank <= 3""",
 }
