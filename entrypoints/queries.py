@@ -10,7 +10,7 @@ from shelfmark.fixtures import derive_catalog
 from shelfmark.functions import vectors as vec
 from shelfmark.operators import (
     analytics as an, diagnostics as dg, embedding as em, experiments as ex, explain as xp,
-    features as ft, metrics as mt, quality as ql, ranking as rk, recommend as rc, rerank as rr)
+    features as ft, lsh, metrics as mt, quality as ql, ranking as rk, recommend as rc, rerank as rr)
 from shelfmark.plans import evaluation as ev, features as pf
 from shelfmark.session import cut, run_folder
 from shelfmark.sources import export as xs, snapshots as sn
@@ -411,6 +411,18 @@ def similar_items(c):
     return rc.similar_items(vectors, 20)
 
 
+@registered
+def similar_items_lsh(c):
+    """The table form against the exact one: share found, share of the pairs scored in full."""
+    _, vectors = pf.build_content_model(c)
+    found, cost = lsh.similar_items_lsh(vectors, 20)
+    exact = cut(rc.similar_items(vectors, 20))
+    return (lsh.list_recall(cut(found), exact).crossJoin(cost)
+            .crossJoin(exact.agg(F.count("*").alias("n_rows")))).select(
+        "n_rows", (F.col("recall") >= 0.95).alias("recall_at_least_95"),
+        (10 * F.col("pairs_scored") <= F.col("pairs")).alias("scored_at_most_a_tenth"))
+
+
 @registered
 def liked_profile_scores(c):
     _, vectors = pf.build_content_model(c)
