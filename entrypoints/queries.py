@@ -404,11 +404,11 @@ def svd_truncated(c):
     sets = cut(em.feature_sets(features, index))
     model = em.fit_svd(sets, index, 16)
     share = float((model.singular_values ** 2).sum())
-    whole = features.agg(F.count("*").alias("entries"))
+    entries = features.agg(F.count("*").alias("entries")).scalar()
     return em.residuals(sets, model).agg(
-        F.count("*").alias("n_components"), (F.max("residual") <= 1e-8).alias("are_eigenvectors")).crossJoin(
-        whole).select("n_components", "are_eigenvectors", F.lit(model.converged).alias("converged"), "entries",
-                      (F.lit(share) <= F.col("entries")).alias("at_most_the_matrix"))
+        F.count("*").alias("n_components"), (F.max("residual") <= 1e-8).alias("are_eigenvectors")).select(
+        "n_components", "are_eigenvectors", F.lit(model.converged).alias("converged"),
+        entries.alias("entries"), (F.lit(share) <= entries).alias("at_most_the_matrix"))
 
 
 # Similarity and recommendation -----------------------------------------------------------
@@ -432,9 +432,9 @@ def similar_items_lsh(c):
     _, vectors = pf.build_content_model(c)
     found, cost = lsh.similar_items_lsh(vectors, 20)
     exact = cut(rc.similar_items(vectors, 20))
-    return (lsh.list_recall(cut(found), exact).crossJoin(cost)
-            .crossJoin(exact.agg(F.count("*").alias("n_rows")))).select(
-        "n_rows", (F.col("recall") >= 0.95).alias("recall_at_least_95"),
+    recall = lsh.list_recall(cut(found), exact).scalar()
+    return cost.select(
+        exact.agg(F.count("*")).scalar().alias("n_rows"), (recall >= 0.95).alias("recall_at_least_95"),
         (10 * F.col("pairs_scored") <= F.col("pairs")).alias("scored_at_most_a_tenth"))
 
 

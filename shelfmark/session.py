@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch folder of the current run", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
@@ -27,8 +32,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused folder below the scratch root, or below that of the current scope."""
+    return f"{_SCOPE.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """What this thread stores inside the block lies in one folder, which is deleted at its end.
+
+    Results read from it have to be written or collected before. Scopes nest.
+    """
+    folder = run_folder(spark, "scope")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Every registered query against its SQL twin.
+"""Every catalog query against its SQL twin; those of the text subpackage have their own test.
 
-The queries are small jobs, so several run at a time. ORACLE_SF_DIR picks the data.
+The queries are small jobs, so a few run at a time, each in its own scratch folder that goes when its
+rows are there. ORACLE_SF_DIR picks the data.
 """
 
 import os
@@ -10,19 +11,23 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from entrypoints.oracles import ORACLES
+from entrypoints.queries import all_queries
+from shelfmark.session import cut, scratch_scope
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
 def results(spark):
     def run(name):
-        df = QUERIES[name](spark, SF_DIR)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        return (*compare.spark_rows(df), plan)
+        with scratch_scope(spark):
+            df = QUERIES[name](spark, SF_DIR)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return (*compare.spark_rows(df), plan)
 
-    with ThreadPoolExecutor(6) as pool:
+    with ThreadPoolExecutor(4) as pool:
         yield {name: pool.submit(run, name) for name in QUERIES}
 
 
@@ -32,7 +37,17 @@ def duck():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
+def test_scope_leaves_nothing(spark):
+    with scratch_scope(spark) as folder:
+        stored = cut(spark.range(5))
+        assert stored.count() == 5 and stored.inputFiles()[0].startswith("file:") and os.path.exists(folder)
+        with scratch_scope(spark) as inner:
+            assert inner.startswith(folder)
+    assert not os.path.exists(folder)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
