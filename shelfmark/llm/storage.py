@@ -1,27 +1,15 @@
-"""The folder for intermediate tables and files that all executors share."""
+"""Intermediate tables and files in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.session import run_folder
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused folder below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-        root = spark.sparkContext.getCheckpointDir()
-        if not root:
-            root = tempfile.mkdtemp(prefix="llm-")
-            spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused folder below ``spark.checkpoint.dir``, or below that of the current scratch scope."""
+    return run_folder(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
