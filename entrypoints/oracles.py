@@ -302,6 +302,32 @@ def _grouped_dcg(source: str, score: str, name: str) -> str:
   from {name}_ranked r cross join ks k group by r.query_group, k.k, r.sc) group by query_group, k)"""
 
 
+_HELD = f"""every_like as ({CTES['user_likes']}
+),
+marked as (select *, cast('0x' || substr(md5('42:' || user_id || ':' || item_id), 1, 8) as bigint) % 5 = 0 as held
+  from every_like),
+split as (select * from marked where user_id in (
+  select user_id from marked group by user_id having bool_or(held) and not bool_and(held))),
+user_likes as (select user_id, item_id from split where not held
+)"""
+
+_HELD_METRICS = """, hits as (select h.setting, h.user_id, h.rank, case when s.item_id is null then 0 else 1 end as hit,
+    sum(case when s.item_id is null then 0 else 1 end) over (partition by h.setting, h.user_id order by h.rank) as run
+  from {lists} h left join split s on s.held and s.user_id = h.user_id and s.item_id = h.item_id),
+sizes as (select user_id, count(*) as n from split where held group by user_id),
+per_user as (select h.setting, h.user_id, k.k, sum(hit) / cast(k.k as double) as precision, sum(hit) / cast(s.n as double) as recall,
+    sum(hit / log2(rank + 1e0)) / list_sum(list_transform(range(1, least(s.n, k.k) + 1), lambda i: 1e0 / log2(i + 1e0))) as ndcg,
+    sum(hit * run / cast(rank as double)) / least(s.n, k.k) as average_precision, max(hit) as hit
+  from hits h join (values (5), (10), (20)) k(k) on h.rank <= k.k join sizes s on s.user_id = h.user_id
+  group by h.setting, h.user_id, k.k, s.n)
+"""
+
+
+def _held(names: str, body: str) -> str:
+    """As _with, with the likes that are kept in place of all likes."""
+    return _with(names, body).replace(f"user_likes as ({CTES['user_likes']}\n)", _HELD, 1)
+
+
 ORACLES: dict[str, str] = {
     # Sources and sinks
     "export_table": _with("items", "select * from items"),
@@ -598,6 +624,27 @@ select m.user_id, k.k, round(sum(hit) / cast(k.k as double), 9) as precision, ro
   round(sum(hit * run / cast(rank as double)) / least(s.n, k.k), 9) as average_precision, max(hit) as hit
 from marked m join (values (1), (5), (20)) k(k) on m.rank <= k.k join sizes s on s.user_id = m.user_id
 group by m.user_id, k.k, s.n"""),
+    "holdout_metrics": _held("hybrid user_likes", _HELD_METRICS.format(lists="hybrid") + """
+select k, count(*) as n_lists, round(avg(precision), 9) as precision, round(avg(recall), 9) as recall, round(avg(ndcg), 9) as ndcg,
+  round(avg(average_precision), 9) as average_precision, round(avg(hit), 9) as hit_rate from per_user group by k"""),
+    "ab_user_variants": _held("hybrid user_likes grid", """
+, lists as (select g.setting, h.user_id, h.item_id, row_number() over (partition by g.setting, h.user_id order by
+    round(g.alpha * h.content_score + g.beta * h.popularity_score - g.gamma * (100e0 - h.data_confidence_score) / 100e0, 9) desc, h.item_id) as rank
+  from hybrid_scores h cross join (values (1, 0.5e0, 0.4e0, 0.1e0), (2, 0.7e0, 0.2e0, 0.1e0)) g(setting, alpha, beta, gamma)
+  qualify rank <= 20)""" + _HELD_METRICS.format(lists="lists") + """
+, pairs as (select a.user_id, round(a.ndcg, 12) as a, round(b.ndcg, 12) as b from per_user a
+  join per_user b on a.user_id = b.user_id and a.k = 20 and b.k = 20 and a.setting = 1 and b.setting = 2)
+select round(avg(a), 9) as mean_a, round(stddev_pop(a), 9) as std_a, round(avg(b), 9) as mean_b, round(stddev_pop(b), 9) as std_b,
+  round(avg(b - a), 9) as lift, count(*) filter (where a > b) as wins_a, count(*) filter (where b > a) as wins_b,
+  count(*) filter (where a = b) as ties, count(*) as n_units,
+  round(case when avg(a) > 0 then avg(b - a) / avg(a) * 100 else 0e0 end, 9) as lift_pct from pairs"""),
+    "rank_model_lists": """
+select count(*) as n_users, 20 * count(*) as n_rows, true as descending, 0 as n_liked from customer""",
+    "ranker_comparison": """
+select * from (values ('rank model', true), ('popularity', true)) v(ranker, above_constant)""",
+    "table_summary": _with("gaps scored", """
+select 'quality_gaps' as table_name, count(*) as row_count from gaps where missing_issues <> ''
+union all select 'low_confidence_priorities', count(*) from scored where data_confidence_score < 30"""),
     "catalog_coverage": _with("recs items", """
 select profile, count(distinct item_id) as n_items, round(count(distinct item_id) / (select cast(count(*) as double) from items), 9) as coverage
 from recs group by profile

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from shelfmark.fixtures import derive_catalog
 from shelfmark.functions import vectors as vec
@@ -531,27 +531,54 @@ def grouped_ndcg(c):
 
 
 def _ranked(c: Catalog):
-    scored, features = pf.build_scored(c), pf.build_binary(c)
-    matrix, inputs = pf.ranker_matrix(c, scored, features)
-    matrix = cut(matrix)
-    model = rk.train_ranker(matrix, inputs, trees=20, learning_rate=0.1)
-    return rk.rank_scores(model, matrix), scored, features
+    """Rows with rank_score, the scored items with it, and the number of training pairs' steps."""
+    scored = pf.build_scored(c)
+    rows, sets, n_features = pf.ranker_rows(c, scored, pf.build_binary(c))
+    model = rk.train_pair_ranker(rows.where("side = 'train'"), n_features)
+    scores = cut(rk.pair_scores(model, c.items, sets))
+    return rows.join(scores, "item_id"), scored.join(scores, "item_id")
+
+
+def _rank_lists(c: Catalog) -> DataFrame:
+    _, ranked = _ranked(c)
+    by_rank = ranked.withColumn("popularity_score", F.col("rank_score"))
+    return rc.recommend_cold_start(c.users, by_rank, 20, c.user_likes).drop(
+        "content_score", "popularity_score", "confidence_penalty")
 
 
 @registered
 def rank_model_topk(c):
-    return rk.rank_topk(_ranked(c)[0], 20, c.user_likes.where("user_id = 1"))
+    """The ranker's 20 best items for every user, without the user's likes."""
+    return _rank_lists(c)
+
+
+@registered
+def rank_model_lists(c):
+    """What must hold for the ranker's lists: all users, full lists, nothing liked, scores descending."""
+    lists = cut(_rank_lists(c))
+    liked = lists.join(c.user_likes, ["user_id", "item_id"], "left_semi").agg(F.count("*")).scalar()
+    steps = W.partitionBy("user_id").orderBy("rank")
+    per_user = lists.withColumn("falls", F.coalesce(
+        F.col("final_score") <= F.lag("final_score").over(steps), F.lit(True))).groupBy("user_id").agg(
+        F.count("*").alias("n"), F.bool_and("falls").alias("falls"))
+    return per_user.agg(F.count("*").alias("n_users"), F.sum("n").alias("n_rows"), F.bool_and("falls").alias(
+        "descending")).select("n_users", "n_rows", "descending", liked.alias("n_liked"))
 
 
 @registered
 def ranker_comparison(c):
-    ranked, scored, features = _ranked(c)
-    recs = cut(rc.recommend_profile(_profiles(c), features, scored)).drop("setting")
-    hybrid = mt.ndcg_at_k(recs, rc.profile_relevant(_profiles(c), features), 10, ("profile",))
-    return rk.grouped_ndcg(ranked, "rank_score").agg(F.avg("ndcg").alias("mean_ndcg")).select(
-        F.lit("rank model").alias("ranker"), "mean_ndcg").unionByName(
-        hybrid.agg(F.avg("ndcg").alias("mean_ndcg")).select(
-            F.lit("hybrid").alias("ranker"), "mean_ndcg"))
+    """Mean grouped NDCG on the validation groups, against a score that is the same for all items."""
+    ranked, scored = _ranked(c)
+    rows = cut(ranked.where("side = 'validation'").join(
+        scored.select("item_id", "popularity_score"), "item_id").withColumn("constant", F.lit(0.0)))
+
+    def mean(score: str):
+        return rk.grouped_ndcg(rows, score).agg(F.avg("ndcg"))
+
+    constant = mean("constant").scalar()
+    return mean("rank_score").select(F.lit("rank model").alias("ranker"), F.col("avg(ndcg)").alias("ndcg")).unionByName(
+        mean("popularity_score").select(F.lit("popularity").alias("ranker"), F.col("avg(ndcg)").alias("ndcg"))).select(
+        "ranker", (F.col("ndcg") > constant).alias("above_constant"))
 
 
 # Offline evaluation ----------------------------------------------------------------------
@@ -607,6 +634,30 @@ def user_list_metrics(c):
     return mt.list_metrics(recs, c.user_likes, [1, 5, 20], ("user_id",))
 
 
+def _held_out(c: Catalog, settings):
+    """Lists for users by the likes that were kept, and the likes that were held out."""
+    kept, held = mt.hold_out_likes(c.user_likes)
+    scored = pf.build_scored(c)
+    _, vectors = pf.build_content_model(c)
+    return rc.recommend_hybrid(kept, scored, vectors, settings, k=20), held
+
+
+@registered
+def holdout_metrics(c):
+    """Hybrid lists against likes they have not seen."""
+    recs, held = _held_out(c, (rc.DEFAULT_WEIGHTS,))
+    return mt.mean_metrics(mt.list_metrics(recs.drop("setting"), held, [5, 10, 20], ("user_id",)))
+
+
+@registered
+def ab_user_variants(c):
+    """Two weight settings compared per user, on the NDCG@20 of held-out likes."""
+    recs, held = _held_out(c, ((0.5, 0.4, 0.1), (0.7, 0.2, 0.1)))
+    recs = cut(recs)
+    a, b = (mt.ndcg_at_k(recs.where(F.col("setting") == i).drop("setting"), held, 20, ("user_id",)) for i in (0, 1))
+    return ex.ab_summary(ex.variants_by_unit(a, b, "ndcg"))
+
+
 @registered
 def catalog_coverage(c):
     recs, _, scored, _ = _profile_lists(c)
@@ -733,6 +784,22 @@ def explanation_compare(c):
 
 # Diagnostics -----------------------------------------------------------------------------
 
+@registered
+def table_summary(c):
+    """Diagnostics tables saved in a schema of their own, listed with exact row counts."""
+    spark = _spark(c)
+    root = _folder(c, "schema")
+    schema = "diagnostics_" + root.rsplit("-", 1)[-1]
+    sn.ensure_schema(spark, schema, root)
+    scored = pf.build_scored(c)
+    for name, rows in (("quality_gaps", dg.quality_gaps(c.items, c.item_tags, c.item_platforms, scored)),
+                       ("low_confidence_priorities", dg.low_confidence_priorities(scored))):
+        sn.save_table(name, rows, schema)
+    listed = sn.table_summary(spark, schema)
+    sn.drop_schema(spark, schema)
+    return listed
+
+
 @registered
 def quality_gaps(c):
     gaps = dg.quality_gaps(c.items, c.item_tags, c.item_platforms, pf.build_scored(c))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from shelfmark.session import cut
+
 from shelfmark.functions.vectors import unit, vector_sum
 
 
@@ -146,3 +148,27 @@ def set_counts(recs: DataFrame, relevant: DataFrame, key: str) -> DataFrame:
     return n_rec.join(n_rel, key, "full").select(
         key, F.coalesce("n_relevant", F.lit(0)).alias("n_relevant"),
         F.coalesce("n_recommended", F.lit(0)).alias("n_recommended"))
+
+
+def hold_out_likes(likes: DataFrame, one_in: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(kept, held out): of the users with both, about one like in ``one_in`` is held out.
+
+    The md5 hash of (seed, user, item) decides, so the split is the same on every run and engine. A
+    repeated like counts once; likes without a user or an item are left out. Users of whom nothing, or
+    everything, would be held out are in neither part.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(seed), "user_id", "item_id").cast("binary"))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    marked = likes.where("user_id is not null and item_id is not null").select("user_id", "item_id").distinct() \
+        .withColumn("held", number % one_in == 0)
+    both = marked.groupBy("user_id").agg(F.bool_or("held").alias("some"), F.bool_and("held").alias("all")) \
+        .where("some and not all").select("user_id")
+    split = cut(marked.join(both, "user_id", "left_semi"))
+    return tuple(split.where(part).drop("held") for part in ("not held", "held"))
+
+
+def mean_metrics(per_list: DataFrame) -> DataFrame:
+    """Means over the lists of ``list_metrics`` per cut-off, with the number of lists."""
+    return per_list.groupBy("k").agg(
+        F.count("*").alias("n_lists"), *[F.avg(m).alias(m) for m in (
+            "precision", "recall", "ndcg", "average_precision")], F.avg("hit").alias("hit_rate"))

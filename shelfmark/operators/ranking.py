@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from shelfmark.functions.vectors import vector_sum
 from shelfmark.session import cut
 
+BUCKET_ITEMS = 128     # items of a group that are compared with each other
 
 def rank_labels(scored: DataFrame) -> DataFrame:
     """Relevance 0..4: floor of four times the min-max scaled popularity; constant gives 0."""
@@ -44,27 +46,91 @@ def group_split(grouped: DataFrame, train_share: float = 0.8) -> DataFrame:
         .alias("side"))
 
 
-def train_ranker(matrix: DataFrame, feature_columns: Sequence[str], trees: int = 200,
-                 learning_rate: float = 0.05, depth: int = 5, seed: int = 42) -> PipelineModel:
-    """Boosted trees on the relevance labels, early-stopped on the validation groups.
+def pair_buckets(rows: DataFrame, size: int = BUCKET_ITEMS, seed: int = 42) -> DataFrame:
+    """Stored random buckets of about ``size`` items of one query group: labels and feature arrays.
 
-    ``matrix`` has ``label`` and ``side``. The objective is the squared error of the label
-    (pointwise), not a listwise one.
+    ``rows``: query_group, item_id, label, idxs. A group of any size becomes many buckets, and
+    pairs are only made inside a bucket: every item meets about ``size`` others of its group.
     """
-    assembler = VectorAssembler(inputCols=list(feature_columns), outputCol="inputs")
-    rows = cut(assembler.transform(matrix).select(
-        "inputs", F.col("label").cast("double").alias("label"),
-        (F.col("side") == "validation").alias("held_out")))
-    model = GBTRegressor(
-        featuresCol="inputs", labelCol="label", predictionCol="rank_score", maxIter=trees,
-        stepSize=learning_rate, maxDepth=depth, seed=seed, validationIndicatorCol="held_out",
-        checkpointInterval=10).fit(rows)
-    return PipelineModel([assembler, model])
-
-
-def rank_scores(model: PipelineModel, matrix: DataFrame) -> DataFrame:
-    """The matrix with ``rank_score``; scores stay on the row of their item."""
-    return model.transform(matrix).drop("inputs")
+    sizes = rows.groupBy("query_group").agg(
+        F.greatest(F.lit(1), F.round(F.count("*") / size)).cast("int").alias("buckets"))
+    dealt = rows.join(sizes, "query_group").withColumn(
+        "bucket", F.pmod(F.xxhash64("item_id", F.lit(seed)), F.col("buckets")))
+    return cut(dealt.groupBy("query_group", "bucket").agg(
+        F.collect_list("label").alias("labels"), F.collect_list("idxs").alias("inputs")))
+
+
+def _pair_gradient(weights):
+    """Loss and gradient of the pairs of every bucket, one row per task."""
+    def run(batches):
+        own = weights.value
+        loss, pairs, gradient = 0.0, 0, np.zeros(len(own))
+        for batch in batches:
+            for labels, inputs in zip(batch.column("labels"), batch.column("inputs")):
+                label = np.asarray(labels.values)
+                size = np.asarray(inputs.values.value_lengths())
+                flat = np.asarray(inputs.values.flatten())
+                of = np.repeat(np.arange(len(label)), size)
+                score = np.bincount(of, own[flat], len(label))
+                better = label[:, None] > label[None, :]
+                gap = np.clip(score[:, None] - score[None, :], -50, 50)
+                loss += np.logaddexp(0, -gap)[better].sum()
+                push = np.where(better, 1 / (1 + np.exp(gap)), 0)
+                pull = push.sum(0) - push.sum(1)          # of each item's score
+                gradient += np.bincount(flat, pull[of], len(own))
+                pairs += int(better.sum())
+        yield pa.RecordBatch.from_pydict({"loss": [loss], "pairs": [pairs], "gradient": [gradient]})
+    return run
+
+
+@dataclass
+class PairRanker:
+    """A linear score over the features; ``losses`` is the mean loss of a pair before each step."""
+    weights: np.ndarray
+    losses: list[float]
+
+
+def train_pair_ranker(rows: DataFrame, n_features: int, steps: int = 25, rate: float = 0.3,
+                      decay: float = 1e-4) -> PairRanker:
+    """Pairwise logistic loss inside query groups, by gradient steps with a rate per weight.
+
+    ``rows``: query_group, item_id, label, idxs (feature numbers below ``n_features``). One pass per
+    step; tasks add up their own gradients, so each sends one row of ``n_features`` numbers.
+    Without a pair of different labels all weights stay 0.
+    """
+    buckets = pair_buckets(rows)
+    context = rows.sparkSession.sparkContext
+    weights, grown, losses = np.zeros(n_features), np.full(n_features, 1e-12), []
+    for _ in range(steps if n_features else 0):
+        shared = context.broadcast(weights)      # n_features numbers
+        found = buckets.mapInArrow(_pair_gradient(shared), "loss double, pairs long, gradient array<double>").agg(
+            F.sum("loss").alias("loss"), F.sum("pairs").alias("pairs"), vector_sum("gradient").alias("gradient")).first()
+        shared.unpersist()
+        if not found["pairs"]:
+            break
+        losses.append(found["loss"] / found["pairs"])
+        gradient = np.array(found["gradient"]) / found["pairs"] + decay * weights
+        grown += gradient ** 2
+        weights = weights - rate * gradient / np.sqrt(grown)
+    return PairRanker(weights, losses)
+
+
+def pair_scores(model: PairRanker, items: DataFrame, sets: DataFrame) -> DataFrame:
+    """item_id, rank_score of all items; one without features scores 0."""
+    shared = items.sparkSession.sparkContext.broadcast(model.weights)
+
+    def score(batches):
+        for batch in batches:
+            lists = batch.column("idxs")
+            size = np.asarray(lists.value_lengths().fill_null(0))
+            of = np.repeat(np.arange(len(size)), size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), pa.array(np.bincount(
+                    of, shared.value[np.asarray(lists.flatten())], len(size)))], ["item_id", "rank_score"])
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return items.select("item_id").join(sets, "item_id", "left").select("item_id", "idxs").mapInArrow(
+        score, f"item_id {kind}, rank_score double")
 
 
 def rank_topk(ranked: DataFrame, k: int = 20, liked: DataFrame | None = None) -> DataFrame:

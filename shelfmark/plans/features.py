@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.operators import embedding as em, features as ft, ranking as rk
 from shelfmark.session import cut
@@ -27,20 +27,18 @@ def build_content_model(catalog: Catalog, n_components: int = 100):
     return model, cut(vectors)
 
 
-def ranker_matrix(catalog: Catalog, scored: DataFrame, features: DataFrame,
-                  with_popularity: bool = False) -> tuple[DataFrame, list[str]]:
-    """Training rows of the ranker and the names of its input columns.
+def ranker_rows(catalog: Catalog, scored: DataFrame, features: DataFrame):
+    """Labelled rows of the ranker (query_group, side, item_id, label, idxs), the items' feature
+    sets and the number of features.
 
-    The inputs are the binary features. Popularity and richness can be added, but the label
-    is made of popularity.
+    The inputs are the binary features as arrays of numbers, however many there are. The label is
+    made of popularity, which is no input.
     """
-    tags = ft.vocabulary(features, "tag")
-    platforms = ft.vocabulary(features, "platform")
-    wide = ft.wide_matrix(catalog.items, scored, features)
-    taken = set(tags)
-    binary = tags + [f"{p}_right" if p in taken else p for p in platforms]
+    index = em.feature_index(features)
+    sets = cut(em.feature_sets(features, index))
     groups = rk.query_groups(catalog.items, catalog.item_platforms)
-    labelled = rk.rank_labels(wide).join(groups, "item_id")
-    matrix = labelled.join(rk.group_split(groups).select("query_group", "side"), "query_group")
-    inputs = binary + (["popularity_score", "richness_score"] if with_popularity else [])
-    return matrix, inputs
+    labelled = rk.rank_labels(scored).select("item_id", "label").join(groups, "item_id").join(
+        rk.group_split(groups).select("query_group", "side"), "query_group")
+    rows = labelled.join(sets, "item_id", "left").withColumn(
+        "idxs", F.coalesce("idxs", F.array().cast("array<bigint>")))
+    return cut(rows), sets, index.count()

@@ -19,9 +19,20 @@ _CSV = {"header": True, "escape": '"'}
 _CSV_READ = {**_CSV, "multiLine": True, "nullValue": "\0"}
 
 
-def ensure_schema(spark: SparkSession, database: str) -> None:
-    """Create the target database of ``saveAsTable`` writes if it is missing."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
+def ensure_schema(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the target database of ``save_table`` writes if it is missing."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`{place}")
+
+
+def save_table(name: str, df: DataFrame, database: str) -> None:
+    """Overwrite a diagnostics table of the session catalog."""
+    conform(name, df).write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+
+
+def drop_schema(spark: SparkSession, database: str) -> None:
+    """Remove a database with its tables."""
+    spark.sql(f"DROP SCHEMA IF EXISTS `{database}` CASCADE")
 
 
 def conform(name: str, df: DataFrame) -> DataFrame:
