@@ -33,12 +33,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfmark.llm.jaccard_join import grouped
 from shelfmark.llm.storage import stored
 from shelfmark.llm.textbatch import (
-    Texts, WINDOW_BASE, chunks, mix, powers, window_hashes, window_starts)
+    Texts, chunks, folded, mix, runs, window_hashes, window_starts)
 
 PLACE_BITS = 36
 HOT_SEGMENTS, HOT_KEYS = 20_000, 100_000
 _POSITION = np.uint64((1 << 28) - 1)
-_INVERSE = pow(WINDOW_BASE, -1, 1 << 64)
 
 
 @dataclass(frozen=True)
@@ -61,21 +60,20 @@ class Units:
             self.words = texts.words()
             self.offsets = self.words.offsets
             self.values = self.words.hashes()
-            self.sums = np.zeros(len(self.values) + 1, np.uint64)
-            np.cumsum(self.values * powers(WINDOW_BASE, len(self.values)), out=self.sums[1:])
 
     def grams(self) -> np.ndarray:
         m = self.kind.gram
         if self.kind.unit == "words":
             return window_hashes(self.values, m)
         starts = np.arange(max(len(self.texts.data) - m + 1, 0))
-        return self.texts.range_hash(starts, starts + m)
+        return self.texts.gram_hash(starts, starts + m)
 
     def range_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if self.kind.unit == "bytes":
             return self.texts.range_hash(starts, ends)
-        raw = (self.sums[ends] - self.sums[starts]) * powers(_INVERSE, len(self.sums))[starts]
-        return mix(raw + (ends - starts).astype(np.uint64))
+        owner, place = runs(ends - starts)
+        return mix(folded(self.values[starts[owner] + place], ends - starts)
+                   + (ends - starts).astype(np.uint64))
 
     def content(self, start: int, end: int) -> bytes:
         data = self.texts.data if self.kind.unit == "bytes" else self.values

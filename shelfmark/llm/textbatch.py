@@ -48,24 +48,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def runs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of the given sizes laid end to end: run of each element, and its place in the run."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def folded(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per run of 64-bit values.
+
+    Neighbours are mixed in pairs, level by level. No step is linear, so no pattern of the values,
+    such as that of a word and its complement, makes two different runs alike; 2**-64 of pairs do.
+    """
+    out = np.zeros(len(sizes), np.uint64)
+    where = np.flatnonzero(sizes)
+    sizes = sizes[where]
+    while len(where):
+        single = sizes == 1
+        ends = np.cumsum(sizes)
+        out[where[single]] = values[ends[single] - 1]
+        if single.all():
+            break
+        where, starts, sizes = where[~single], (ends - sizes)[~single], sizes[~single]
+        half = (sizes + 1) // 2
+        owner, place = runs(half)
+        left = starts[owner] + 2 * place
+        right = mix(values[np.minimum(left + 1, len(values) - 1)] ^ np.uint64(_BASE))
+        right[2 * place + 1 >= sizes[owner]] = np.uint64(WINDOW_BASE)
+        values, sizes = mix(values[left] * np.uint64(_BASE) + right), half
+    return out
+
+
 class Texts:
     """Some whole texts as one byte row; ``offsets`` has n + 1 entries."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, first: int):
         self.data, self.offsets, self.first = data, offsets, first
         self.n = len(offsets) - 1
-        self._sums = None
+        self._sums = self._blocks = None
 
     @property
     def sums(self) -> np.ndarray:
-        """Prefix sums of byte value times base**position, for hashes of any byte range."""
+        """Prefix sums of byte value times base**position, for hashes of all short byte ranges."""
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(_BYTE_VALUES[self.data] * powers(_BASE, len(self.data)), out=self._sums[1:])
         return self._sums
 
+    @property
+    def blocks(self) -> np.ndarray:
+        """The eight bytes from every position on as one number."""
+        if self._blocks is None:
+            padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+            self._blocks = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        return self._blocks
+
     def range_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hash of every byte range; equal bytes give equal hashes."""
+        """64-bit hash of every byte range; equal bytes give equal hashes, and see ``folded``."""
+        size = ends - starts
+        owner, place = runs((size + 7) // 8)
+        rest = np.minimum(size[owner] - 8 * place, 8)
+        values = self.blocks[starts[owner] + 8 * place] & (
+            np.uint64(2**64 - 1) >> ((8 - rest) * 8).astype(np.uint64))
+        return mix(folded(mix(values + np.uint64(_BASE)), (size + 7) // 8)
+                   + size.astype(np.uint64) * np.uint64(WINDOW_BASE))
+
+    def gram_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A cheaper hash for the grams at all positions, which only pick places: a sum, so strings
+        built for it can be alike."""
         raw = (self.sums[ends] - self.sums[starts]) * powers(_INVERSE, len(self.data) + 1)[starts]
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(WINDOW_BASE))
 

@@ -110,27 +110,16 @@ def read_records(stream, keep_payload: bool = False) -> Iterator[Record]:
         yield Record(kind, fields, size, found, b"".join(parts) if keep_payload else None)
 
 
-def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = [(t or "").encode() for t in batch.column("payload").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), pa.array([payload_digest(r) for r in raw], pa.string()),
-             pa.array([len(r) for r in raw], pa.int64())], ["page_id", "digest", "size"])
-
-
 def record_roles(pages: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
-    """(page_id, digest, first_id) of each distinct page and payload.
+    """(page_id, sha1, first_id) of each distinct page and payload; pages: page_id, sha1, size.
 
     A payload that thousands of pages share is reduced to its smallest page_id per task first.
     """
-    spark_type = pages.schema["page_id"].dataType.simpleString()
-    told = stored(pages.select("page_id", F.col("payload")).mapInArrow(
-        _digests, f"page_id {spark_type}, digest string, size long"), "warc-digests")
-    first = told.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    return (told.distinct().join(first, "digest")
-            .select("page_id", "digest",
-                    F.when(F.col("size") >= min_bytes, F.col("first_id"))
-                    .otherwise(F.col("page_id")).alias("first_id")))
+    told = stored(pages.select("page_id", "sha1", "size").distinct(), "warc-digests")
+    first = told.groupBy("sha1").agg(F.min("page_id").alias("first_id"))
+    return told.join(first, "sha1").select(
+        "page_id", "sha1", F.when(F.col("size") >= min_bytes, F.col("first_id"))
+        .otherwise(F.col("page_id")).alias("first_id"))
 
 
 def write_archives(pages: DataFrame, *, folder: str | None = None, id_col: str = "page_id",
@@ -144,14 +133,16 @@ def write_archives(pages: DataFrame, *, folder: str | None = None, id_col: str =
     """
     folder = folder or new_folder(pages.sparkSession, "warc")
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                          F.col(payload_col).cast("string").alias("payload"))
+                          F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
+    source = source.withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload")})
     roles = record_roles(source, min_bytes)
-    # The hash of a page_id joins, so a null one and its repeats meet too.
-    rows = (source.withColumn("at", F.xxhash64("page_id"))
-            .join(roles.select(F.xxhash64("page_id").alias("at"), F.col("page_id").alias("role_id"),
-                               "digest", "first_id"), "at")
-            .where(F.col("page_id").eqNullSafe(F.col("role_id")))
-            .select("page_id", "url", "payload", "digest", "first_id"))
+    # A row meets the one role of its page_id and payload; the hash of both lets null ids meet too.
+    key = F.xxhash64("page_id", "sha1")
+    rows = (source.withColumn("at", key)
+            .join(roles.select(key.alias("at"), F.col("page_id").alias("role_id"),
+                               F.col("sha1").alias("role_sha1"), "first_id"), "at")
+            .where(F.col("page_id").eqNullSafe(F.col("role_id")) & (F.col("sha1") == F.col("role_sha1")))
+            .select("page_id", "url", "payload", "first_id"))
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = path = out = None
@@ -160,8 +151,6 @@ def write_archives(pages: DataFrame, *, folder: str | None = None, id_col: str =
             for row in batch.to_pylist():
                 payload = (row["payload"] or "").encode()
                 digest = payload_digest(payload)
-                if digest != row["digest"]:
-                    continue  # a repeated page_id: this pair belongs to its other payload
                 if out is None:
                     store, root = fs.FileSystem.from_uri(folder)
                     store.create_dir(root, recursive=True)

@@ -7,12 +7,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
     bpe, components, decontaminate, jaccard_join, masked_lm, pii, quality, secret_scan,
     substring_dedup, suffix_dedup, warc)
+from shelfmark.llm.textbatch import chunks, folded
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -366,6 +368,58 @@ def test_warc_round_trip(spark):
     assert warc.warc_round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_rows_without_id_meet_their_own_payload_only(spark):
+    rows = [(None, "u", f"<p>{i}</p>") for i in range(60)] + [(None, "u", "<p>same</p>")] * 60 + [(5, "u", "x")] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_archives(pages)
+    assert manifest.agg(F.sum("n_records")).first()[0] == len(rows)
+    found = warc.warc_round_trip(pages).collect()
+    assert len(found) == len(rows) and all(r.record_type == "response" for r in found)
+
+
+def thue_morse(n):
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_no_pattern_makes_two_words_or_lines_alike(spark):
+    word = thue_morse(10)
+    other = word.translate(str.maketrans("ab", "ba"))
+    parts = next(chunks(pa.array([word, other, word, f"x {word}", thue_morse(13), thue_morse(14)])))
+    hashes = parts.words().hashes()
+    assert hashes[0] == hashes[2] == hashes[4] and len(set(hashes.tolist())) == 5
+    docs = spark.createDataFrame([(1, f"{word}\n{other}\n{word} "), (2, f"{prose(3, 19)} {word}"),
+                                  (3, f"{prose(3, 19)} {other}")], "doc_id long, text string")
+    found = {r.doc_id: r for r in quality.score_quality(docs, quality.train(docs, spark.createDataFrame(
+        [], "doc_id long, quality int, toxic int"))).collect()}
+    assert found[1].n_dup_lines == 0
+    removed = {r.doc_id: r.n_removed for r in substring_dedup.dedup_substrings(docs).collect()}
+    assert removed[2] == removed[3] == 0
+    pair = spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string")
+    base, sums = plain_bytes([(1, word), (2, other)]), {}
+    for r in suffix_dedup.dedup_bytes(pair).collect():
+        sums[r.doc_id] = r.n_removed
+    assert sums == base
+
+
+def plain_bytes(rows, width=200):
+    seen = collections.Counter(t[i:i + width] for _, t in rows for i in range(len(t) - width + 1))
+    return {d: len({i + j for i in range(len(t) - width + 1) if seen[t[i:i + width]] > 1 for j in range(width)})
+            for d, t in rows}
+
+
+def test_runs_are_folded_one_by_one():
+    rng = np.random.default_rng(1)
+    sizes = np.array([0, 1, 2, 3, 1000, 5, 0, 17, 64])
+    values = rng.integers(0, 2**63, sizes.sum()).astype(np.uint64)
+    whole = folded(values, sizes)
+    ends = np.cumsum(sizes)
+    for i, n in enumerate(sizes):
+        assert whole[i] == folded(values[ends[i] - n:ends[i]], np.array([n]))[0]
+
+
 def test_warc_reader_checks():
     content = b"HTTP/1.1 200 OK\r\n\r\nabc"
     fields = {"WARC-Payload-Digest": "sha1:" + warc.payload_digest(b"abc")}
