@@ -180,9 +180,16 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
 
 def _fetch(kind: Kind):
-    """Units of the wanted segments of each text."""
+    """Units of the wanted segments of each text; a row that repeats an id and a text gives none again."""
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = set()
         for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("d", "m", "mark"))))
+            fresh = [i for i, k in enumerate(keys) if not (k in known or known.add(k))]
+            if len(fresh) < len(keys):
+                batch = batch.take(pa.array(fresh, pa.int64()))
+            if not fresh:
+                continue
             d, m = (batch.column(c).to_numpy() for c in ("d", "m"))
             wanted = batch.column("wanted")
             for texts in chunks(batch.column("text")):
@@ -273,7 +280,7 @@ def repeated_runs(texts: DataFrame, kind: Kind, search: Search, keep_first: bool
     wanted = distinct.groupBy("d", "m", F.shiftright("place", 44).alias("mark")).agg(
         F.collect_list(F.struct("h", "s", "place", "times")).alias("wanted"))
     # Rows that repeat an id and a text are one document here.
-    fetched = base.join(wanted, ["d", "m", "mark"]).select("d", "m", "text", "wanted").mapInArrow(
+    fetched = base.join(wanted, ["d", "m", "mark"]).select("d", "m", "mark", "text", "wanted").mapInArrow(
         _fetch(kind), "h long, s long, d long, m long, place long, times long, content binary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
     marked = (fetched.withColumn("shard", F.pmod(F.xxhash64("h", F.lit(3)), F.lit(shards)))
@@ -296,8 +303,9 @@ def _distinct(seen: DataFrame) -> DataFrame:
 
 def with_runs(texts: DataFrame, runs: DataFrame) -> DataFrame:
     """(doc_id, text, runs: array of places) of every document."""
+    # A set: rows that repeat an id and a text name the same places once each.
     by_text = runs.groupBy("d", "m", F.shiftright("place", 44).alias("mark")).agg(
-        F.collect_list("place").alias("runs"))
+        F.collect_set("place").alias("runs"))
     return texts.join(by_text, ["d", "m", "mark"], "left").select("doc_id", "text", "runs")
 
 

@@ -26,7 +26,7 @@ from shelfmark.llm.repeats import (
 from shelfmark.llm.textbatch import chunks, window_starts
 
 WINDOW_BYTES = 200
-KIND = Kind("bytes", WINDOW_BYTES, 32, 4_000_000)
+KIND = Kind("bytes", WINDOW_BYTES, 32, 1_000_000)
 INITIAL = 8
 
 
@@ -42,13 +42,14 @@ def bucket_pointers(row: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     wide = np.concatenate([row, np.zeros(reach, row.dtype)]).astype(np.uint64)
     for i in range(reach):
         key = key << np.uint64(8) | wide[i:i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable").astype(np.int32)   # a shard has far fewer than 2**31 bytes
     ordered = key[order]
     fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    pointer = np.empty(n, np.int64)
+    del key, wide, ordered
+    pointer = np.empty(n, np.int32)
     pointer[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     shared = ~(fresh & np.append(fresh[1:], True))
-    active = np.flatnonzero(shared)            # places in the order that are not settled
+    active = np.flatnonzero(shared).astype(np.int32)   # places in the order that are not settled
     while reach < depth and len(active):
         offset = min(reach, depth - reach)
         suffix = order[active]

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    bpe, components, decontaminate, jaccard_join, masked_lm, pii, quality, secret_scan,
+    bpe, components, decontaminate, jaccard_join, masked_lm, pii, quality, repeats, secret_scan,
     substring_dedup, suffix_dedup, warc)
 from shelfmark.llm.textbatch import chunks, folded
 
@@ -404,6 +404,23 @@ def test_no_pattern_makes_two_words_or_lines_alike(spark):
     assert sums == base
 
 
+@pytest.mark.parametrize("dedup", [suffix_dedup.dedup_bytes, substring_dedup.dedup_substrings])
+def test_places_of_repeated_rows_do_not_multiply(spark, dedup):
+    text = prose(8, 120)
+    rows = [(None, text)] * 80 + [(1, text), (2, prose(9, 120))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = repeats.sources(docs, "doc_id", "text")
+    module = suffix_dedup if dedup is suffix_dedup.dedup_bytes else substring_dedup
+    search = module.repeated_windows if module is suffix_dedup else None
+    if search:
+        runs = repeats.repeated_runs(texts, module.KIND, search, False)
+        places = repeats.with_runs(texts, runs).select(F.size("runs").alias("n")).where("n > 0").collect()
+        assert len(places) == 81 and max(r.n for r in places) < 40
+    found = dedup(docs).collect()
+    assert len(found) == 82 and {r.n_removed for r in found if r.doc_id == 2} == {0}
+    assert len({r.n_removed for r in found if r.doc_id is None}) == 1
+
+
 def plain_bytes(rows, width=200):
     seen = collections.Counter(t[i:i + width] for _, t in rows for i in range(len(t) - width + 1))
     return {d: len({i + j for i in range(len(t) - width + 1) if seen[t[i:i + width]] > 1 for j in range(width)})
