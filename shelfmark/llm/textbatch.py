@@ -71,11 +71,17 @@ def folded(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
             break
         where, starts, sizes = where[~single], (ends - sizes)[~single], sizes[~single]
         half = (sizes + 1) // 2
-        owner, place = runs(half)
-        left = starts[owner] + 2 * place
-        right = mix(values[np.minimum(left + 1, len(values) - 1)] ^ np.uint64(_BASE))
-        right[2 * place + 1 >= sizes[owner]] = np.uint64(WINDOW_BASE)
-        values, sizes = mix(values[left] * np.uint64(_BASE) + right), half
+        # Element 2 i of a run lies at the run's start plus twice its place among the halves.
+        shift = starts - 2 * (np.cumsum(half) - half)
+        left = 2 * np.arange(half.sum()) + np.repeat(shift, half)
+        right = np.append(values, np.uint64(0))[left + 1]
+        right[(np.cumsum(half) - 1)[sizes % 2 == 1]] = np.uint64(WINDOW_BASE)
+        pair = values[left] * np.uint64(_BASE)
+        pair ^= pair >> np.uint64(32)
+        pair += right
+        pair *= np.uint64(WINDOW_BASE)
+        pair ^= pair >> np.uint64(29)
+        values, sizes = pair, half
     return out
 
 
@@ -106,11 +112,12 @@ class Texts:
     def range_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hash of every byte range; equal bytes give equal hashes, and see ``folded``."""
         size = ends - starts
-        owner, place = runs((size + 7) // 8)
-        rest = np.minimum(size[owner] - 8 * place, 8)
-        values = self.blocks[starts[owner] + 8 * place] & (
-            np.uint64(2**64 - 1) >> ((8 - rest) * 8).astype(np.uint64))
-        return mix(folded(mix(values + np.uint64(_BASE)), (size + 7) // 8)
+        count = (size + 7) // 8
+        last = np.cumsum(count)
+        values = self.blocks[8 * np.arange(count.sum()) + np.repeat(starts - 8 * (last - count), count)]
+        whole = count > 0
+        values[last[whole] - 1] &= np.uint64(2**64 - 1) >> (8 * (8 * count - size)[whole]).astype(np.uint64)
+        return mix(folded(mix(values + np.uint64(_BASE)), count)
                    + size.astype(np.uint64) * np.uint64(WINDOW_BASE))
 
     def gram_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
