@@ -825,7 +825,7 @@ def low_confidence_priorities(c):
 def key_metrics(c):
     grid, scored = _grid(c)
     model, _ = pf.build_content_model(c)
-    return dg.key_metrics(grid, scored, model.components.shape[1])
+    return dg.key_metrics(grid, scored, len(model.singular_values))
 
 
 @registered
