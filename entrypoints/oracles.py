@@ -350,6 +350,9 @@ ORACLES: dict[str, str] = {
     "feature_matrix_roundtrip": _with("scored", f"""
 select item_id, title, release_year, data_confidence_score,
   {_rounded('log_sales', 'popularity_score', 'richness_score')} from scored"""),
+    "feature_matrix_bucketed": _with("scored item_tags", f"""
+select item_id, {_rounded('log_sales', 'popularity_score')}, coalesce(n_tags, 0) as n_tags
+from scored left join (select item_id, count(*) as n_tags from item_tags group by item_id) t using (item_id)"""),
     "precomputed_items": _with("scored", f"""
 select s.item_id, s.title, {_R.format('popularity_score')}, s.data_confidence_score,
   1e0 as richness_score, 0 as release_year, 0 as n_tags, 0 as n_platforms, '' as category_id,
@@ -404,6 +407,11 @@ where i.release_year is not null and i.release_year > 0"""),
 select tag_id, count(distinct item_id) as exact_item_count,
   abs(cast(approx_count_distinct(item_id) as bigint) - count(distinct item_id)) <= count(distinct item_id) * 0.15 as within_tol
 from item_tags group by tag_id"""),
+    "tag_diversity_merged": _with("items item_tags", """
+select t.tag_id, cast(max(cast(i.source_type = 'catalog' as int)) + max(cast(i.release_state = 'released' as int)) as bigint) as n_parts,
+  count(distinct t.item_id) as exact_item_count, true as within_tol
+from item_tags t join items i on i.item_id = t.item_id
+where i.source_type = 'catalog' or i.release_state = 'released' group by t.tag_id"""),
 
     # Quality audit
     "coverage_analysis": _with("items item_tags", """
@@ -572,6 +580,14 @@ union all select user_id, 3, item_id, final_score from third""".strip()),
     "search_title": _with("scored", """
 select item_id, title, round(popularity_score, 9) as popularity_score, data_confidence_score
 from scored where contains(lower(title), 'ring') order by round(popularity_score, 9) desc, item_id limit 10"""),
+    "search_title_indexed": _with("scored", """
+select item_id, title, round(popularity_score, 9) as popularity_score, data_confidence_score
+from scored where contains(lower(title), 'ring') order by round(popularity_score, 9) desc, item_id limit 10"""),
+    "search_tags_in_titles": _with("scored tags", """
+select tag_id, cast(rank as int) as rank, item_id, popularity_score from (
+  select t.tag_id, s.item_id, round(s.popularity_score, 9) as popularity_score,
+    row_number() over (partition by t.tag_id order by round(s.popularity_score, 9) desc, s.item_id) as rank
+  from tags t join scored s on contains(lower(s.title), lower(t.tag_id))) where rank <= 10"""),
     "title_lookup": _with("items", "select title, min(item_id) as item_id from items group by title"),
     "score_progress": _with("hybrid", """
 select user_id, cast(rank as int) as rank, item_id, round(least(final_score / max(final_score) over (partition by user_id), 1e0), 9) as progress

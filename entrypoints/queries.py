@@ -10,7 +10,7 @@ from shelfmark.fixtures import derive_catalog
 from shelfmark.functions import vectors as vec
 from shelfmark.operators import (
     analytics as an, diagnostics as dg, embedding as em, experiments as ex, explain as xp,
-    features as ft, lsh, metrics as mt, quality as ql, ranking as rk, recommend as rc, rerank as rr)
+    features as ft, lsh, metrics as mt, quality as ql, ranking as rk, recommend as rc, rerank as rr, title_search as ts)
 from shelfmark.plans import evaluation as ev, features as pf
 from shelfmark.session import cut, run_folder
 from shelfmark.sources import export as xs, snapshots as sn
@@ -122,6 +122,26 @@ def feature_matrix_roundtrip(c):
                          "popularity_score", "richness_score")
 
 
+def bucketed_counts(matrix: DataFrame, item_tags: DataFrame) -> DataFrame:
+    """Features of every item with the number of its tags; a join and a grouping by item_id."""
+    tags = item_tags.groupBy("item_id").agg(F.count("*").alias("n_tags"))
+    return matrix.join(tags, "item_id", "left").select(
+        "item_id", "log_sales", "popularity_score", F.coalesce("n_tags", F.lit(0)).alias("n_tags"))
+
+
+@registered
+def feature_matrix_bucketed(c):
+    """The matrix and the tags as tables bucketed by item, joined without a shuffle."""
+    spark, root = _spark(c), _folder(c, "bucketed")
+    schema = "matrix_" + root.rsplit("-", 1)[-1]
+    sn.ensure_schema(spark, schema, root)
+    matrix = xs.write_bucketed(pf.build_scored(c), f"{schema}.feature_matrix", buckets=8)
+    item_tags = xs.write_bucketed(c.item_tags, f"{schema}.item_tags", buckets=8)
+    joined = cut(bucketed_counts(matrix, item_tags))
+    sn.drop_schema(spark, schema)
+    return joined
+
+
 @registered
 def precomputed_items(c):
     items = xs.precomputed_items(c.vectors, pf.build_scored(c))
@@ -220,6 +240,22 @@ def approx_tag_diversity(c):
                          (off <= F.col("exact_item_count") * 0.15).alias("within_tol"))
 
 
+@registered
+def tag_diversity_merged(c):
+    """Items per tag over two overlapping parts of the catalog, each seen once, against the exact count."""
+    parts = ((c.items.source_type == "catalog"), (c.items.release_state == "released"))
+    sketches = None
+    for part in parts:
+        stored = cut(an.tag_sketches(c.item_tags.join(c.items.where(part).select("item_id"), "item_id")))
+        sketches = stored if sketches is None else sketches.unionByName(stored)
+    exact = c.item_tags.join(c.items.where(parts[0] | parts[1]).select("item_id"), "item_id") \
+        .distinct().groupBy("tag_id").agg(F.count("*").alias("exact_item_count"))
+    off = F.abs(F.col("approx_item_count") - F.col("exact_item_count"))
+    return an.merged_tag_diversity(sketches).join(exact, "tag_id", "full").select(
+        "tag_id", "n_parts", "exact_item_count",
+        (off <= F.col("exact_item_count") * 0.1).alias("within_tol"))
+
+
 # Quality audit ---------------------------------------------------------------------------
 
 @registered
@@ -495,6 +531,23 @@ def search_title(c):
     return rc.search_title(pf.build_scored(c), "RING")
 
 
+@registered
+def search_title_indexed(c):
+    """The same search through the posting table."""
+    scored = cut(pf.build_scored(c).select("item_id", "title", "popularity_score", "data_confidence_score"))
+    index = ts.build(scored, _folder(c, "titles"))
+    return rc.search_title(ts.search(index, "RING").join(scored.drop("title"), "item_id"), "RING")
+
+
+@registered
+def search_tags_in_titles(c):
+    """Every tag searched in all titles at once: its ten most popular items."""
+    scored = cut(pf.build_scored(c).select("item_id", "title", "popularity_score"))
+    texts = c.tags.select(F.col("tag_id").alias("query"), F.col("tag_id").alias("text"))
+    return ts.search_all(ts.build(scored, _folder(c, "titles")), texts, scored).withColumnRenamed(
+        "query", "tag_id")
+
+
 @registered
 def title_lookup(c):
     return rc.title_lookup(c.items)

@@ -50,6 +50,18 @@ def write_matrix(matrix: DataFrame, path: str) -> DataFrame:
     return matrix.sparkSession.read.schema(matrix.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str = "item_id", buckets: int = 64) -> DataFrame:
+    """Save as a table of the session catalog, bucketed and sorted by ``key``, and open it.
+
+    Tables with the same key and number of buckets are joined and grouped by the key without a shuffle.
+    Rows are brought together first, so a bucket is one file and not one file per task; a file holds
+    1 / ``buckets`` of the table, so the number has to follow its size.
+    """
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key) \
+        .saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def precomputed_items(vectors: DataFrame, scored: DataFrame) -> DataFrame:
     """Precomputed embeddings with scores and the literal defaults of a reduced item table."""
     return vectors.select("item_id", "embedding").join(
