@@ -52,10 +52,10 @@ select event_id as match_id, event_id % 2000 as item_id, case when event_type in
   event_type as matched_by from events""",
     "user_likes": """
 select distinct o.o_custkey as user_id, l.l_partkey as item_id from orders o join lineitem l on o.o_orderkey = l.l_orderkey
-where o.o_orderpriority = '1-URGENT' and l.l_quantity >= 45""",
+where l.l_returnflag = 'N'""",
     "user_exclusions": """
 select distinct o.o_custkey as user_id, l.l_partkey as item_id from orders o join lineitem l on o.o_orderkey = l.l_orderkey
-where l.l_returnflag = 'R' and l.l_quantity <= 5""",
+where l.l_returnflag = 'R'""",
     "ab_units": """
 select user_id as unit_id, avg(value) filter (where event_type = 'view') as metric_a,
   avg(value) filter (where event_type = 'click') as metric_b
@@ -544,8 +544,8 @@ select user_id, {_REC_COLUMNS} from (select h.*, row_number() over (partition by
     order by final_score desc, item_id) as rank
   from hybrid_scores h anti join user_exclusions x on x.user_id = h.user_id and x.item_id = h.item_id)
 where rank <= 20"""),
-    "recommend_cold_start": _with("scored user_likes user_exclusions", _COLD.format(
-        users="(select c_custkey as user_id from customer where c_custkey not in (select user_id from user_likes))",
+    "recommend_cold_start": _with("scored user_exclusions", _COLD.format(
+        users="(select c_custkey as user_id from customer)",
         anti=_ANTI, k=20)),
     "recommend_users": _with("scored user_likes hybrid", _COLD.format(
         users="(select c_custkey as user_id from customer where c_custkey not in (select user_id from user_likes))",

@@ -490,8 +490,7 @@ def recommend_hybrid(c):
 
 @registered
 def recommend_cold_start(c):
-    cold = c.users.join(c.user_likes.select("user_id"), "user_id", "left_anti")
-    return rc.recommend_cold_start(cold, pf.build_scored(c), 20, c.user_exclusions)
+    return rc.recommend_cold_start(c.users, pf.build_scored(c), 20, c.user_exclusions)
 
 
 @registered

@@ -12,7 +12,7 @@ BASE_SCHEMAS = {
     "supplier": "s_suppkey bigint, s_nationkey int",
     "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
                 "l_quantity double, l_extendedprice double, l_discount double, "
                 "l_returnflag string, l_linestatus string",
@@ -151,23 +151,22 @@ def derive_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
             .otherwise("rejected").alias("status"),
             F.col("event_type").alias("matched_by"))
 
-    def user_likes() -> DataFrame:
-        urgent = base("orders").where("o_orderpriority = '1-URGENT'").select(
-            "o_orderkey", "o_custkey")
-        liked = base("lineitem").where("l_quantity >= 45").select("l_orderkey", "l_partkey")
-        return urgent.join(liked, F.col("o_orderkey") == F.col("l_orderkey")).select(
+    def lines_of_users(flag: str) -> DataFrame:
+        lines = base("lineitem").where(F.col("l_returnflag") == flag).select("l_orderkey", "l_partkey")
+        return base("orders").select("o_orderkey", "o_custkey").join(
+            lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
             F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
 
+    def user_likes() -> DataFrame:
+        # Every line says something: kept on order (liked), sent back (excluded), or neither.
+        return lines_of_users("N")
+
     def users() -> DataFrame:
         return base("customer").select(F.col("c_custkey").alias("user_id"))
 
     def user_exclusions() -> DataFrame:
         # What a user sent back is not recommended to them again.
-        back = base("lineitem").where("l_returnflag = 'R' and l_quantity <= 5").select(
-            "l_orderkey", "l_partkey")
-        return base("orders").select("o_orderkey", "o_custkey").join(
-            back, F.col("o_orderkey") == F.col("l_orderkey")).select(
-            F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).distinct()
+        return lines_of_users("R")
 
     def ab_units() -> DataFrame:
         # One unit per event user: mean value of two event types.

@@ -72,32 +72,28 @@ def open_index(spark, folder: str) -> TitleIndex:
         .parquet(f"{folder}/titles"))
 
 
-def _matching(postings: DataFrame, titles: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(query, item_id) of all titles with the text; wanted: query, text in lower case."""
-    texts = wanted.where(F.col("text").isNotNull()).select(
-        "query", "text", needed(F.col("text")).alias("grams"))
-    # One row per query, block and gram: bounded by the number of grams of a text.
-    met = texts.select("query", F.size("grams").alias("n"), F.explode("grams").alias("gram")) \
-        .join(postings, "gram").groupBy("query", "block").agg(
-        F.collect_list("places").alias("lists"), F.first("n").alias("n")) \
-        .where(F.size("lists") == F.col("n"))
+def _in_all(met: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, item_id, wide) of the items that all ``n`` grams of a text hold.
+
+    met: keys, block, places, n; one row per block and gram, so at most the text's grams are gathered.
+    """
+    lists = met.groupBy(*keys, "block").agg(
+        F.collect_list("places").alias("lists"), F.first("n").alias("n")).where(F.size("lists") == F.col("n"))
     both = F.reduce(F.slice("lists", 2, F.size("lists")), F.get("lists", F.lit(0)), F.array_intersect)
-    found = met.select("query", "block", F.explode(both).alias("place")).select(
-        "query", (F.col("block") * BLOCK + F.col("place")).alias("item_id"),
+    return lists.select(*keys, "block", F.explode(both).alias("place")).select(
+        *keys, (F.col("block") * BLOCK + F.col("place")).alias("item_id"),
         F.floor((F.col("block") * BLOCK) / WIDE).cast("bigint").alias("wide"))
-    return found.join(titles.select("item_id", "wide", "title"), ["wide", "item_id"]) \
-        .join(texts.select("query", "text"), "query") \
-        .where(F.contains(F.lower("title"), F.col("text"))).select("query", "item_id", "title")
 
 
 def search(index: TitleIndex, text: str | None) -> DataFrame:
     """(item_id, title) of all items whose title contains the text, ignoring case."""
-    spark = index.postings.sparkSession
-    wanted = spark.range(1).select(F.lit(0).alias("query"), F.lower(F.lit(text).cast("string")).alias("text"))
-    # The grams of one text, as literals, reach the scan of the postings.
-    own = wanted.select(needed(F.col("text"))).first()[0] or []
-    postings = index.postings.where(F.col("gram").isin([g for g in own if g is not None]))
-    return _matching(postings, index.titles, wanted).drop("query")
+    small = F.lower(F.lit(text).cast("string"))
+    # The grams of the text, as literals, reach the scan of the postings.
+    own = index.postings.sparkSession.range(1).select(needed(small)).first()[0] or []
+    own = [g for g in own if g is not None]
+    met = index.postings.where(F.col("gram").isin(own)).withColumn("n", F.lit(len(own)))
+    return _in_all(met, []).join(index.titles, ["wide", "item_id"]).where(
+        F.contains(F.lower("title"), small)).select("item_id", "title")
 
 
 def search_all(index: TitleIndex, texts: DataFrame, scored: DataFrame, n: int = 10) -> DataFrame:
@@ -105,8 +101,11 @@ def search_all(index: TitleIndex, texts: DataFrame, scored: DataFrame, n: int =
 
     Returns (query, rank, item_id, popularity_score). Ranked as reported: nine digits, ties by item id.
     """
-    found = _matching(index.postings, index.titles,
-                      texts.select("query", F.lower("text").alias("text")))
+    texts = texts.where(F.col("text").isNotNull()).select("query", F.lower("text").alias("text"))
+    met = texts.select("query", needed(F.col("text")).alias("grams")).select(
+        "query", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(index.postings, "gram")
+    found = _in_all(met, ["query"]).join(index.titles, ["wide", "item_id"]).join(texts, "query").where(
+        F.contains(F.lower("title"), F.col("text"))).select("query", "item_id")
     score = F.round("popularity_score", 9)
     best = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "item_id"))
     return found.join(scored.select("item_id", score.alias("score")), "item_id").select(
