@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.llm.spans import (
-    hits_and_gaps, overlaps_none, placed, redacted, span_text, tagged)
+    free_flags, hits_and_gaps, placed, redacted, span_text, tagged)
 from shelfmark.llm.storage import stored
 
 KINDS = ("email", "ip", "card", "phone")
@@ -99,8 +99,8 @@ def _scanned(documents: DataFrame, text: Column) -> DataFrame:
 
     return marked.withColumn("places", F.concat(
         F.transform(F.concat("e", "i", "c", "p"), lambda s: place(s, True)),
-        F.transform(F.filter("n", lambda s: overlaps_none(s, F.col("base"))),
-                    lambda s: place(s, False)))).withColumns(
+        F.filter(F.zip_with("n", free_flags(F.col("n"), F.col("base")), lambda s, free: F.when(
+            free, place(s, False))), lambda p: p.isNotNull()))).withColumns(
         {f"n_{kind}": F.size(c).cast("long") for c, kind in zip("eicp", KINDS)}).drop(*"eicpn")
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.llm.spans import hits_and_gaps, overlaps_none, placed, span_text, tagged
+from shelfmark.llm.spans import free_flags, hits_and_gaps, placed, span_text, tagged
 from shelfmark.llm.storage import stored
 
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 8, 16, 32
@@ -69,7 +69,7 @@ def _scanned(documents: DataFrame, id_col, text_col, owner: Column, repo: Column
         "doc_id", "owner", "repo", F.size("a").cast("long").alias("n_assign"),
         F.size("k").cast("long").alias("n_access"), F.size("h").cast("long").alias("n_hex"),
         base.alias("base"),
-        # Values of base spans are counted as well; only the others can become new spans.
+        # Values of base spans are counted as well; only what overlaps none can become a new span.
         F.concat(
             F.transform("a", lambda s: F.struct(
                 F.sha2(F.regexp_extract(s["match"], ASSIGN, 1), 256).alias("value"),
@@ -77,9 +77,9 @@ def _scanned(documents: DataFrame, id_col, text_col, owner: Column, repo: Column
             F.transform(F.concat("k", "h"), lambda s: F.struct(
                 F.sha2(s["match"], 256).alias("value"), s["start"].alias("start"),
                 s["stop"].alias("stop"), F.lit(False).alias("new"))),
-            F.transform("c", lambda s: F.struct(
+            F.zip_with("c", free_flags(F.col("c"), base), lambda s, free: F.struct(
                 F.sha2(s["match"], 256).alias("value"), s["start"].alias("start"),
-                s["stop"].alias("stop"), F.lit(True).alias("new")))).alias("candidates"))
+                s["stop"].alias("stop"), free.alias("new")))).alias("candidates"))
 
 
 def value_owners(candidates: DataFrame) -> DataFrame:
@@ -105,13 +105,12 @@ def scan_secrets(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = stored(_scanned(documents, id_col, text_col, owner, repo)
                   .withColumn("row", F.monotonically_increasing_id()), "secrets")
     places = rows.where(F.size("candidates") > 0).select(
-        "row", "owner", "repo", "base", F.explode("candidates").alias("c")).select(
-        "row", "owner", "repo", "base", "c.*")
+        "row", "owner", "repo", F.explode("candidates").alias("c")).select(
+        "row", "owner", "repo", "c.*")
     counts = value_owners(places)
     judged = places.join(counts, "value").withColumn(
         "live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
-    free = F.col("new") & F.col("live") & overlaps_none(
-        F.struct(F.col("start"), F.col("stop")), F.col("base"))
+    free = F.col("new") & F.col("live")
     span = F.struct("start", F.lit(len(KINDS)).alias("kind_order"), "stop",
                     F.lit("owned").alias("kind"))
     added = stored(judged.groupBy("row").agg(
