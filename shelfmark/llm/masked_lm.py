@@ -14,11 +14,14 @@ sent to a task or gathered. What is gathered and sent are the classes' parameter
 ``(2 * REACH + 1) * HIDDEN * (OWN + 1) * sqrt(V)`` numbers, the words with a class of their own and
 the distinct frequencies.
 
-Training covers all documents: each task runs stochastic gradient descent in numpy over its own
-texts from the same start, and the tasks' parameters are averaged by Spark, weighted by tokens, one
-row per block of parameters. Rounds follow each other, at least ``LEAST_ROUNDS``, until the averaged
-parameters' loss over all documents falls by less than ``TOLERANCE``. A round has a task for every
-``TASK_TOKENS`` tokens, however many partitions the input has, so no task takes only a few steps.
+Training covers all documents: they are dealt to ``SLICES`` slices, and an epoch takes one slice after
+the other. Each task descends in numpy over its own texts of the slice from the same start, with steps
+divided by the root of the squared gradients so far (AdaGrad); Spark averages the tasks' parameters and
+squares, weighted by tokens, in levels of ``FAN`` tasks. The loss is taken while training, so in the first
+epoch it is that of unseen texts. Another epoch follows while the last slice has lost more than
+``TOLERANCE`` less than the slice before, at most ``MAX_EPOCHS`` in all; those of the last are used
+then. A slice has a task for every ``TASK_TOKENS`` tokens, however many partitions the input has, so no
+task takes only a few steps.
 
 Cases: a null or empty text has no tokens and a score of 0 (its mean is null); repeated rows score
 alike and count twice; a one-word text is predicted from empty sides; an empty table gives an empty
@@ -32,6 +35,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.llm.storage import stored
@@ -41,12 +45,15 @@ OWN = 4                    # times sqrt(V): classes of one frequent word
 LEAST_CLASSES = 32         # of either sort
 REACH = 2
 HIDDEN = 16
-LEAST_ROUNDS = 4
-TOLERANCE = 0.002          # share of the loss that a further round has to save
+SLICES = 4                 # of an epoch
+TOLERANCE = 0.01           # share of the loss that the last slice has to save for another epoch
+MAX_EPOCHS = 20
 TASK_TOKENS = 500_000
-BATCH = 512
-RATE = 2.0
-BLOCK = 1024               # parameters per row when tasks are averaged
+BATCH = 8192               # tokens per step
+ROWS = 1024                # of them scored at a time, which stay in the processor's cache
+RATE = 0.3
+BLOCK = 8192               # parameters per row when tasks are averaged
+FAN = 64                   # rows averaged at a time
 
 
 def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,30 +115,32 @@ def vocabulary(words: DataFrame) -> tuple[DataFrame, int]:
 def _encoded(id_type: pa.DataType):
     """Classes and summed log shares of the texts of one block, from the words of the block."""
     def encode(texts: pa.Table, words: pa.Table) -> pa.Table:
+        block = texts.column("block").to_numpy()
+        part = ((block + np.arange(len(block))) % SLICES).astype(np.int32)
         hashes, column = [], pa.array(words.column("word").combine_chunks().cast(pa.string()))
-        for part in chunks(column):
-            hashes.append(part.words().hashes())
+        for texts_part in chunks(column):
+            hashes.append(texts_part.words().hashes())
         known = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(known)
         known = known[order]
         named = words.column("class").to_numpy()[order]
         shares = words.column("log_share").to_numpy()[order]
         n, share, classes = [], [], []
-        for part in chunks(texts.column("text").combine_chunks()):
-            found = part.words()
+        for texts_part in chunks(texts.column("text").combine_chunks()):
+            found = texts_part.words()
             place = np.searchsorted(known, found.hashes())
             own, offsets = named[place].astype(np.int32), found.offsets
             n += np.diff(offsets).tolist()
             share += per_text(shares[place].astype(np.float64), offsets).tolist()
             classes += [own[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
         return pa.table([texts.column("doc_id").cast(id_type), pa.array(n, pa.int64()),
-                         pa.array(share, pa.float64()), pa.array(classes, pa.binary())],
-                        ["doc_id", "n", "share", "classes"])
+                         pa.array(share, pa.float64()), pa.array(classes, pa.binary()),
+                         pa.array(part)], ["doc_id", "n", "share", "classes", "slice"])
     return encode
 
 
 def encoded(source: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id, n, share, classes) of every document, and the number of classes."""
+    """(doc_id, n, share, classes, slice) of every document, and the number of classes."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = source.schema["doc_id"].dataType
@@ -143,8 +152,8 @@ def encoded(source: DataFrame) -> tuple[DataFrame, int]:
     named = words.select("block", "word").join(table, "word")
     out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(
         _encoded(to_arrow_type(kind)),
-        f"doc_id {kind.simpleString()}, n long, share double, classes binary")
-    return stored(out, "encoded"), classes
+        f"doc_id {kind.simpleString()}, n long, share double, classes binary, slice int")
+    return stored(out, "encoded", by="slice"), classes
 
 
 def _tokens(batch: pa.RecordBatch, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -193,64 +202,97 @@ class Network:
         return flat
 
     @staticmethod
-    def _softmax(scores: np.ndarray) -> np.ndarray:
+    def _exps(scores: np.ndarray) -> np.ndarray:
+        """The scores' exponentials in place, up to a factor of the row; their sums, as a column."""
         scores -= scores.max(1, keepdims=True)
         np.exp(scores, out=scores)
-        scores /= scores.sum(1, keepdims=True)
-        return scores
+        return scores.sum(1, keepdims=True)
 
-    def forward(self, around: np.ndarray, target: np.ndarray):
-        """Hidden values, chances of the groups and of the classes of the target's group, and the
-        runs of equal groups; tokens must come in the order of their target's group."""
-        hidden = self.lean + self.embed[0][around[:, 0]]
+    def _hidden(self, around: np.ndarray) -> np.ndarray:
+        hidden = np.take(self.embed[0], around[:, 0], axis=0)
         for p in range(1, 2 * REACH):
-            hidden += self.embed[p][around[:, p]]
-        np.tanh(hidden, out=hidden)
-        groups = self._softmax(hidden @ self.top + self.top_base)
-        group = target // self.width
+            hidden += np.take(self.embed[p], around[:, p], axis=0)
+        hidden += self.lean
+        return np.tanh(hidden, out=hidden)
+
+    def _parts(self, target: np.ndarray) -> Iterator[tuple]:
+        """Weights, biases, place in the parameters, rows and choices: first of the groups, then of the
+        classes of each group; targets come in order."""
+        group, leaf = target // self.width, target % self.width
+        for a in range(0, len(target), ROWS):
+            yield self.top, self.top_base, -1, slice(a, a + ROWS), group[a:a + ROWS]
         cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
-        runs = [(int(group[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])]
-        scores = np.empty((len(target), self.width), np.float32)
-        for g, a, b in runs:
-            np.matmul(hidden[a:b], self.low[g], out=scores[a:b])
-            scores[a:b] += self.low_base[g]
-        return hidden, groups, self._softmax(scores), runs
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            g = int(group[a])
+            yield self.low[g], self.low_base[g], g, slice(a, b), leaf[a:b]
 
     def log_chance(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The logarithm of the chance of every target class between the classes around it."""
         out = np.empty(len(target))
-        for low in range(0, len(target), 8192):
-            order = low + np.argsort(target[low:low + 8192], kind="stable")
-            own = target[order]
-            _, groups, leaves, _ = self.forward(around[order], own)
-            rows = np.arange(len(own))
-            chance = groups[rows, own // self.width].astype(np.float64)
-            out[order] = np.log(np.maximum(chance * leaves[rows, own % self.width], 1e-30))
+        for low in range(0, len(target), BATCH):
+            order = low + _order(target[low:low + BATCH], self.embed.shape[1])
+            hidden, chance = self._hidden(np.take(around, order, axis=0)), np.zeros(len(order))
+            for weights, base, _, rows, own in self._parts(target[order]):
+                scores = hidden[rows] @ weights
+                scores += base
+                total = self._exps(scores)
+                chance[rows] += np.log(np.maximum(
+                    scores[np.arange(len(own)), own] / total[:, 0], 1e-30))
+            out[order] = chance
         return out
 
-    def learn(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        order = np.argsort(target, kind="stable")
-        around, target = around[order], target[order]
-        hidden, fault, leaf, runs = self.forward(around, target)
-        n, rows = len(target), np.arange(len(target))
-        fault[rows, target // self.width] -= 1
-        leaf[rows, target % self.width] -= 1
-        fault *= rate / n
-        leaf *= rate / n
-        back = fault @ self.top.T
-        for g, a, b in runs:
-            back[a:b] += leaf[a:b] @ self.low[g].T
-            self.low[g] -= hidden[a:b].T @ leaf[a:b]
-            self.low_base[g] -= leaf[a:b].sum(0)
-        self.top -= hidden.T @ fault
-        self.top_base -= fault.sum(0)
+    def learn(self, squares: Network, around: np.ndarray, target: np.ndarray, rate: float) -> float:
+        """One step over the tokens; their loss before it. ``squares``: sums of squared gradients."""
+        order = _order(target, self.embed.shape[1])
+        around, target = np.take(around, order, axis=0), target[order]
+        hidden = self._hidden(around)
+        back, lost = np.zeros_like(hidden), 0.0
+        top, top_base = np.zeros_like(self.top), np.zeros_like(self.top_base)
+
+        def step(values: np.ndarray, sums: np.ndarray, gradient: np.ndarray) -> None:
+            sums += gradient * gradient
+            values -= rate * gradient / np.sqrt(sums)
+
+        for weights, base, g, rows, own in self._parts(target):
+            here = hidden[rows]
+            fault = here @ weights
+            fault += base
+            total, places = self._exps(fault), np.arange(len(own))
+            lost -= float(np.log(np.maximum(fault[places, own] / total[:, 0], 1e-30)).sum())
+            # Faults are chance minus truth, here times ``total``.
+            fault[places, own] -= total[:, 0]
+            share = 1 / total
+            back[rows] += (fault @ weights.T) * share
+            slope, lean = (here * share).T @ fault, share[:, 0] @ fault
+            if g < 0:
+                top += slope
+                top_base += lean
+            else:
+                step(weights, squares.low[g], slope)
+                step(base, squares.low_base[g], lean)
+        step(self.top, squares.top, top)
+        step(self.top_base, squares.top_base, top_base)
         back *= 1 - hidden * hidden
-        self.lean -= back.sum(0)
-        # Sums of the gradients by place and class.
+        step(self.lean, squares.lean, back.sum(0))
+        columns = np.ascontiguousarray(back.T, np.float64)
+        seen, number = np.zeros(self.embed.shape[1], bool), np.empty(self.embed.shape[1], np.intp)
         for p in range(2 * REACH):
-            order = np.argsort(around[:, p], kind="stable")
-            own = around[order, p]
-            first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-            self.embed[p][own[first]] -= np.add.reduceat(back[order], first, axis=0)
+            seen[:] = False
+            seen[around[:, p]] = True
+            rows = np.flatnonzero(seen)
+            number[rows] = np.arange(len(rows))
+            place = number[around[:, p]]
+            slope = np.stack([np.bincount(place, column, len(rows)) for column in columns],
+                             axis=1).astype(np.float32)
+            sums = squares.embed[p][rows] + slope * slope
+            squares.embed[p][rows] = sums
+            self.embed[p][rows] -= rate * slope / np.sqrt(sums)
+        return lost
+
+
+def _order(values: np.ndarray, limit: int) -> np.ndarray:
+    """The stable order of classes; sorted by counting where they fit 16 bits."""
+    return np.argsort(values.astype(np.uint16) if limit <= 1 << 16 else values, kind="stable")
 
 
 def _windows(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -267,70 +309,83 @@ def _windows(classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _average(rows: pa.Table) -> pa.Table:
-    """The weighted mean of one block of parameters."""
+    """The weighted mean of the rows of one block of parameters."""
     seen = rows.column("seen").to_numpy()
     values = rows.column("values").combine_chunks().values.to_numpy().reshape(len(seen), -1)
-    return pa.table([rows.column("block").slice(0, 1), pa.array([int(seen.sum())], pa.int64()),
+    mean = (seen @ values.astype(np.float64) / seen.sum()).astype(np.float32)
+    return pa.table([rows.column("block").slice(0, 1), rows.column("part").slice(0, 1),
+                     pa.array([int(seen.sum())], pa.int64()),
                      pa.array([rows.column("lost").to_numpy().sum()], pa.float64()),
-                     pa.array([values.sum(0) / seen.sum()], pa.list_(pa.float64()))],
-                    ["block", "seen", "lost", "values"])
+                     pa.array([mean], pa.list_(pa.float32()))],
+                    ["block", "part", "seen", "lost", "values"])
 
 
-def train(texts: DataFrame, classes: int, rounds: int | None = None) -> np.ndarray:
-    """Parameters after ``rounds`` rounds of local descent and averaging over all tasks.
+def _descend(given, classes: int):
+    """Descent over the texts of a task from the given parameters and squares; rows to average."""
+    def descend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, seen, lost = given.value.copy(), 0, 0.0
+        net, squares = (Network(half, classes) for half in np.split(flat, 2))
+        for batch in batches:
+            for _, own, offsets in _tokens(batch):
+                around = _windows(own, offsets)
+                # Tokens of one text should not follow each other in the descent.
+                order = np.random.default_rng(len(own)).permutation(len(own))
+                for low in range(0, len(order), BATCH):
+                    part = order[low:low + BATCH]
+                    seen += len(part)
+                    lost += net.learn(squares, np.take(around, part, axis=0), own[part], RATE)
+        if seen:
+            blocks = range(0, len(flat), BLOCK)
+            task = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b // BLOCK for b in blocks], pa.int64()),
+                 pa.array([task] * len(blocks), pa.int32()),
+                 pa.array([seen] * len(blocks), pa.int64()),
+                 pa.array([lost] * len(blocks), pa.float64()),
+                 pa.array([flat[b:b + BLOCK] for b in blocks], pa.list_(pa.float32()))],
+                ["block", "part", "seen", "lost", "values"])
+    return descend
 
-    texts: n, classes (see ``encoded``). Without ``rounds``: until the loss stops falling.
+
+def train(texts: DataFrame, classes: int, epochs: int | None = None) -> np.ndarray:
+    """Parameters after some epochs; texts: n, classes, slice (see ``encoded``).
+
+    Without ``epochs``: until the loss stops falling.
     """
-    context, flat = texts.sparkSession.sparkContext, Network.start(classes)
-    tokens = texts.agg(F.sum("n")).first()[0] or 0
-    # Without a shuffle; more tasks than partitions are not made.
-    texts = texts.select("n", "classes").coalesce(max(1, -(-tokens // TASK_TOKENS)))
-    turn, last, before = 0, math.inf, flat
-    while tokens and (rounds is None or turn < rounds):
-        given = context.broadcast(flat)
-
-        def descend(batches, given=given, turn=turn):
-            net, seen = Network(given.value.copy(), classes), 0
-            start, lost = Network(given.value, classes), 0.0
-            for batch in batches:
-                for _, own, offsets in _tokens(batch):
-                    around = _windows(own, offsets)
-                    if rounds is None:
-                        lost -= float(start.log_chance(around, own).sum())
-                    # Tokens of one text should not follow each other in the descent.
-                    order = np.random.default_rng(len(own)).permutation(len(own))
-                    for low in range(0, len(order), BATCH):
-                        part = order[low:low + BATCH]
-                        seen += len(part)
-                        net.learn(around[part], own[part], RATE / (1 + turn) * len(part) / BATCH)
-            if seen:
-                blocks = range(0, len(net.flat), BLOCK)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b // BLOCK for b in blocks], pa.int64()),
-                     pa.array([seen] * len(blocks), pa.int64()),
-                     pa.array([lost] * len(blocks), pa.float64()),
-                     pa.array([net.flat[b:b + BLOCK].astype(np.float64) * seen for b in blocks],
-                              pa.list_(pa.float64()))], ["block", "seen", "lost", "values"])
-
-        schema = "block long, seen long, lost double, values array<double>"
-        rows = (texts.mapInArrow(descend, schema)
-                .groupBy("block").applyInArrow(_average, schema).toArrow())
-        # The loss of the parameters that this round has started from.
-        loss = rows.column("lost")[0].as_py()
-        if rounds is None and turn >= LEAST_ROUNDS and loss > last * (1 - TOLERANCE):
-            return flat if loss <= last else before
-        last, before, flat, turn = loss, flat, flat.copy(), turn + 1
-        for block, values in zip(rows.column("block").to_pylist(), rows.column("values")):
-            flat[block * BLOCK:(block + 1) * BLOCK] = values.values.to_numpy()
-    return flat
+    context, start = texts.sparkSession.sparkContext, Network.start(classes)
+    flat = np.concatenate([start, np.ones_like(start)])
+    schema = "block long, part int, seen long, lost double, values array<float>"
+    sizes = {r["slice"]: r["n"] for r in texts.groupBy("slice").agg(F.sum("n").alias("n")).collect()}
+    losses: list[float] = []
+    for _ in range(MAX_EPOCHS if epochs is None else epochs):
+        for number in sorted(k for k, n in sizes.items() if n):
+            # Without a shuffle; more tasks than partitions are not made.
+            tasks = -(-sizes[number] // TASK_TOKENS)
+            given = context.broadcast(flat)
+            rows = (texts.where(F.col("slice") == number).select("n", "classes").coalesce(tasks)
+                    .mapInArrow(_descend(given, classes), schema))
+            while True:
+                tasks = -(-tasks // FAN)
+                rows = (rows.withColumn("part", F.pmod("part", F.lit(tasks)))
+                        .groupBy("block", "part").applyInArrow(_average, schema))
+                if tasks == 1:
+                    break
+            told, flat = rows.toArrow(), flat.copy()
+            given.destroy()
+            losses.append(told.column("lost")[0].as_py() / told.column("seen")[0].as_py())
+            for block, values in zip(told.column("block").to_pylist(), told.column("values")):
+                flat[block * BLOCK:(block + 1) * BLOCK] = values.values.to_numpy()
+        if epochs is None and (len(losses) < 2 or losses[-1] > losses[-2] * (1 - TOLERANCE)):
+            break
+    return flat[:len(start)]
 
 
 def score_documents(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int | None = None) -> DataFrame:
+                    epochs: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document."""
     source, classes = encoded(documents.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    model = source.sparkSession.sparkContext.broadcast(train(source, classes, rounds))
+    model = source.sparkSession.sparkContext.broadcast(train(source, classes, epochs))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(model.value, classes)

@@ -12,8 +12,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return run_folder(spark, name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table and read again: what follows starts from files, not from lineage."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written as a table and read again: what follows starts from files, not from lineage.
+
+    ``by``: the last column, of few values; each value gets a folder, so that a filter on it reads only that.
+    """
     folder = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -272,7 +272,7 @@ def test_masked_lm(spark, docs):
     random.Random(1).shuffle(mixed)
     rows.append((999, " ".join(mixed)))
     scored = {r.doc_id: r.mean_log_likelihood for r in masked_lm.score_documents(
-        spark.createDataFrame(rows, "doc_id long, text string"), rounds=4).collect()}
+        spark.createDataFrame(rows, "doc_id long, text string"), epochs=4).collect()}
     assert scored[0] > scored[999] + 0.3
 
 
@@ -306,6 +306,65 @@ def test_masked_lm_classes_follow_the_words(spark):
             np.log(counts[bytes(r.word).decode()] / mass[r["class"]]))
 
 
+def plain_chances(net, around):
+    """Log-chances of all classes between some classes, by plain loops over groups."""
+    hidden = np.tanh(net.lean + sum(net.embed[p][c] for p, c in enumerate(around)))
+    top = hidden @ net.top + net.top_base
+    out = []
+    for g in range(len(top)):
+        low = hidden @ net.low[g] + net.low_base[g]
+        out.append(top[g] - np.log(np.exp(top).sum()) + low - np.log(np.exp(low).sum()))
+    return np.concatenate(out)
+
+
+def test_masked_lm_network_against_plain_loops():
+    classes, rng = 70, np.random.default_rng(5)
+    own, offsets = rng.integers(1, classes, 3000).astype(np.int32), np.array([0, 1, 1, 1200, 3000])
+    around = masked_lm._windows(own, offsets)
+    for t in (0, 1, 2, 700, 1199, 1200, 1201, 2999):
+        first, last = [(a, b) for a, b in zip(offsets[:-1], offsets[1:]) if a <= t < b][0]
+        assert around[t].tolist() == [own[t + d] if first <= t + d < last else 0 for d in (-2, -1, 1, 2)]
+    flat = masked_lm.Network.start(classes)
+    net = masked_lm.Network(flat, classes)
+    got = net.log_chance(around, own)
+    for t in range(0, 3000, 37):
+        assert got[t] == pytest.approx(plain_chances(net, around[t])[own[t]], abs=1e-4)
+    assert np.exp(plain_chances(net, around[9])).sum() == pytest.approx(1, abs=1e-4)
+    # One step from equal squares divides the gradient by its size: compared with differences of the loss.
+    squares = np.full(len(flat), 1e8, np.float32)
+    moved = masked_lm.Network(flat.copy(), classes)
+    lost = moved.learn(masked_lm.Network(squares, classes), around[:400], own[:400], 1e4)
+    assert lost == pytest.approx(-got[:400].sum(), rel=1e-4)
+    wide = flat.astype(np.float64)
+    loss = lambda: -masked_lm.Network(wide, classes).log_chance(around[:400], own[:400]).sum()
+    for i in rng.integers(0, len(flat), 60):
+        kept = wide[i]
+        wide[i] = kept + 1e-3
+        up = loss()
+        wide[i] = kept - 1e-3
+        slope = (up - loss()) / 2e-3
+        wide[i] = kept
+        assert flat[i] - moved.flat[i] == pytest.approx(slope, abs=0.02 + 0.02 * abs(slope))
+
+
+def test_masked_lm_averages_many_tasks(spark):
+    # More tasks than one level averages; every text takes part once an epoch.
+    rows = [(i, " ".join(["red", "green", "blue"] * 40)) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    encoded, classes = masked_lm.encoded(table)
+    assert sum(r["n"] for r in encoded.collect()) == 300 * 120
+    values = [(b, t, 1 + t, 0.5, [float(t), 1.0]) for b in (0, 1) for t in range(10)]
+    schema = "block long, part int, seen long, lost double, values array<float>"
+    got = (spark.createDataFrame(values, schema).withColumn("part", F.pmod("part", F.lit(3)))
+           .groupBy("block", "part").applyInArrow(masked_lm._average, schema)
+           .withColumn("part", F.lit(0)).groupBy("block", "part")
+           .applyInArrow(masked_lm._average, schema).collect())
+    want = sum(t * (1 + t) for t in range(10)) / 55
+    assert sorted(r.block for r in got) == [0, 1]
+    for r in got:
+        assert (r.seen, r.lost) == (55, 5.0) and r["values"] == pytest.approx([want, 1.0], rel=1e-5)
+
+
 def normal_shingles(text):
     w = words(re.sub(r"[^\w\s]|_", "", (text or "").lower()))
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
