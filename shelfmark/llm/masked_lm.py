@@ -8,7 +8,7 @@ classes of the group) gives the class of the middle word; the word's share of it
 over the whole corpus, gives the rest. A document's score is the sum of the log-probabilities of
 its tokens.
 
-Texts are dealt to blocks of about a megabyte. Spark joins the distinct words of each block with the
+Texts are dealt to blocks of ``BLOCK_BYTES``. Spark joins the distinct words of each block with the
 table of words, and each block is encoded with its own words only, so the table of words is never
 sent to a task or gathered. What is gathered and sent are the classes' parameters, about
 ``(2 * REACH + 1) * HIDDEN * (OWN + 1) * sqrt(V)`` numbers, the words with a class of their own and
@@ -20,8 +20,9 @@ divided by the root of the squared gradients so far (AdaGrad); Spark averages th
 squares, weighted by tokens, in levels of ``FAN`` tasks. The loss is taken while training, so in the first
 epoch it is that of unseen texts. Another epoch follows while the last slice has lost more than
 ``TOLERANCE`` less than the slice before, at most ``MAX_EPOCHS`` in all; those of the last are used
-then. A slice has a task for every ``TASK_TOKENS`` tokens, however many partitions the input has, so no
-task takes only a few steps.
+then. A slice has a task for every ``TASK_TOKENS`` tokens, or twice the numbers that a task returns if that
+is more, however many partitions the input has: no task takes only a few steps, and what is averaged
+stays smaller than the texts.
 
 Cases: a null or empty text has no tokens and a score of 0 (its mean is null); repeated rows score
 alike and count twice; a one-word text is predicted from empty sides; an empty table gives an empty
@@ -49,6 +50,7 @@ SLICES = 4                 # of an epoch
 TOLERANCE = 0.01           # share of the loss that the last slice has to save for another epoch
 MAX_EPOCHS = 20
 TASK_TOKENS = 500_000
+BLOCK_BYTES = 8 << 20      # of texts encoded together
 BATCH = 8192               # tokens per step
 ROWS = 1024                # of them scored at a time, which stay in the processor's cache
 RATE = 0.3
@@ -58,11 +60,15 @@ FAN = 64                   # rows averaged at a time
 
 def _dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The number of its block for every row."""
+    block, size = 0, BLOCK_BYTES
     for batch in batches:
         for texts in chunks(batch.column("text")):
             rows = batch.slice(texts.first, texts.n)
+            if size + len(texts.data) > BLOCK_BYTES:
+                block, size = rows.column("row")[0].as_py(), 0
+            size += len(texts.data)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(texts.n, rows.column("row")[0].as_py(), np.int64)),
+                [pa.array(np.full(texts.n, block, np.int64)),
                  rows.column("doc_id"), rows.column("text")], ["block", "doc_id", "text"])
 
 
@@ -360,7 +366,7 @@ def train(texts: DataFrame, classes: int, epochs: int | None = None) -> np.ndarr
     for _ in range(MAX_EPOCHS if epochs is None else epochs):
         for number in sorted(k for k, n in sizes.items() if n):
             # Without a shuffle; more tasks than partitions are not made.
-            tasks = -(-sizes[number] // TASK_TOKENS)
+            tasks = -(-sizes[number] // max(TASK_TOKENS, 2 * len(flat)))
             given = context.broadcast(flat)
             rows = (texts.where(F.col("slice") == number).select("n", "classes").coalesce(tasks)
                     .mapInArrow(_descend(given, classes), schema))
