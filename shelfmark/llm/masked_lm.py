@@ -80,14 +80,20 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = batch.column("block").to_numpy()
         cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
         for low, high in zip(cuts[:-1], cuts[1:]):
+            hashes, found, counts = [], [], []
             for texts in chunks(batch.column("text").slice(low, high - low)):
                 words, raw = texts.words(), texts.data.tobytes()
-                _, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), block[low], np.int64)),
-                     pa.array([raw[a:b] for a, b in zip(words.starts[first].tolist(),
-                                                        words.ends[first].tolist())], pa.binary()),
-                     pa.array(n.astype(np.int64))], ["block", "word", "n"])
+                own, first, n = np.unique(words.hashes(), return_index=True, return_counts=True)
+                hashes.append(own)
+                counts.append(n)
+                found += [raw[a:b] for a, b in zip(words.starts[first].tolist(),
+                                                   words.ends[first].tolist())]
+            _, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            n = np.bincount(place, np.concatenate(counts), len(first)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(n), block[low], np.int64)),
+                 pa.array([found[i] for i in first.tolist()], pa.binary()), pa.array(n)],
+                ["block", "word", "n"])
 
 
 def vocabulary(words: DataFrame) -> tuple[DataFrame, int]:

@@ -347,6 +347,19 @@ def test_masked_lm_network_against_plain_loops():
         assert flat[i] - moved.flat[i] == pytest.approx(slope, abs=0.02 + 0.02 * abs(slope))
 
 
+def test_masked_lm_counts_words_of_a_block_once():
+    # Texts of more than one chunk of a megabyte in a block, an empty and a null one, a block of no words.
+    texts = [prose(8, 300_000), "", None, prose(9, 300_000), " ", "w1 w1 b"]
+    batch = pa.RecordBatch.from_pydict({"block": [1, 1, 1, 1, 5, 7], "text": texts})
+    got = collections.Counter()
+    for part in masked_lm._counted([batch]):
+        for block, word, n in zip(*(part.column(i).to_pylist() for i in range(3))):
+            assert (block, word) not in got
+            got[block, word] = n
+    want = collections.Counter((b, w.encode()) for b, t in zip([1, 1, 1, 1, 5, 7], texts) for w in words(t))
+    assert got == want
+
+
 def test_masked_lm_averages_many_tasks(spark):
     # More tasks than one level averages; every text takes part once an epoch.
     rows = [(i, " ".join(["red", "green", "blue"] * 40)) for i in range(300)]
