@@ -53,6 +53,78 @@ def test_weighted_topk_is_exact(spark, monkeypatch, group_size, block, chunk):
         assert [s for _, s in rows[q]] == pytest.approx([s for _, s in expected[q]], abs=2e-9)
 
 
+def topk_case(spark, monkeypatch, items, queries, k, group_size, seen=None):
+    """Rows of ``weighted_topk`` by query, and how many copies of a query were sent to blocks."""
+    copies, score = [], nn._score
+
+    def counted(visits, blocks, salts, *rest):
+        copies.extend(salts[g] for r in visits.select("grps").collect() for g in r["grps"])
+        return score(visits, blocks, salts, *rest)
+
+    monkeypatch.setattr(nn, "_score", counted)
+    got = nn.weighted_topk(
+        spark.createDataFrame(queries, "query_id long, vec array<double>, alpha double, beta double, gamma double"),
+        spark.createDataFrame(items, "item_id long, embedding array<double>, pop double, pen double"), k,
+        seen and spark.createDataFrame(list(seen), "query_id long, item_id long"), group_size)
+    rows = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        rows.setdefault(r["query_id"], []).append(r["item_id"])
+    expected = brute_topk(queries, items, seen or set(), k)
+    assert rows == {q: [i for i, _ in v] for q, v in expected.items()}
+    return len(copies) / len(queries)
+
+
+@pytest.mark.parametrize("most_weights", [64, 1])
+def test_a_query_is_sent_to_few_blocks(spark, monkeypatch, most_weights):
+    monkeypatch.setattr(nn, "ITEM_BLOCK", 8)
+    monkeypatch.setattr(nn, "QUERY_CHUNK", 8)
+    monkeypatch.setattr(nn, "MAX_WEIGHTS", most_weights, raising=False)
+    rng = np.random.default_rng(3)
+    items = [(i, (1 + 0.3 * rng.normal(size=6)).tolist(), float(rng.random()), float(rng.random())) for i in range(1500)]
+    queries = [(j, (1 + 0.1 * rng.normal(size=6)).tolist(), 0.5, (0.4, 0.0)[j % 2], (0.1, 0.0)[j % 2]) for j in range(300)]
+    seen = {(j, int(i)) for j in range(0, 300, 3) for i in rng.integers(0, 1500, 30)}
+    copies = topk_case(spark, monkeypatch, items, queries, 5, 100, seen)
+    assert copies <= (20 if most_weights > 1 else 40)   # 188 blocks of 8
+
+
+def test_clustered_vectors_visit_their_own_cluster(spark, monkeypatch):
+    monkeypatch.setattr(nn, "ITEM_BLOCK", 20)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(5, 8))
+    items = [(i, (centres[i % 5] + 0.02 * rng.normal(size=8)).tolist() if i % 50 else [0.0] * 8, 0.0, 0.0)
+             for i in range(600)]
+    queries = [(i, v, 1.0, 0.0, 0.0) for i, v, _, _ in items if i % 50]
+    assert topk_case(spark, monkeypatch, items, queries, 4, 20, {(i, i) for i, *_ in queries}) <= 15   # of 30
+
+
+def test_means_and_embeddings_without_sorting_rows(spark):
+    """Rows that carry vectors are added up as they come: no object aggregate, which sorts them in a task's memory."""
+    rng = np.random.default_rng(5)
+    vectors = {i: rng.normal(size=4) for i in range(40)}
+    likes = [(None if u == 3 else u, int(i)) for u in range(30) for i in rng.integers(0, 45, 60 if u == 7 else 6)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item_id long, embedding array<double>")
+    found = rc.user_profiles(spark.createDataFrame(likes, "user_id long, item_id long"), table)
+    assert "ObjectHashAggregate" not in found._jdf.queryExecution().toString()
+    means = {}
+    for user, item in likes:
+        if item in vectors:
+            means.setdefault(user, []).append(vectors[item])
+    rows = {r["user_id"]: r["vec"] for r in found.collect()}
+    assert set(rows) == set(means)
+    for user, own in means.items():
+        assert rows[user] == pytest.approx(np.mean(own, axis=0), abs=1e-12)
+
+    names = [(i, "tag", f"t{t}") for i in range(1, 30) for t in set(rng.integers(0, 9, 4).tolist())]
+    items = spark.range(30).withColumnRenamed("id", "item_id")
+    model, embedded = em.content_model(items, spark.createDataFrame(names, "item_id long, kind string, feature string"), 5)
+    assert "ObjectHashAggregate" not in embedded._jdf.queryExecution().toString()
+    part = {r["idx"]: np.array(r["vec"]) for r in model.components.collect()}
+    number = {r["feature"]: r["idx"] for r in model.features.collect()}
+    for r in embedded.collect():
+        own = sum((part[number[t]] for i, _, t in names if i == r["item_id"]), np.zeros(5))
+        assert r["embedding"] == pytest.approx(own, abs=1e-12)
+
+
 def test_topk_with_fewer_items_than_k(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0], 0.0, 0.0), (2, [0.0, 0.0], 0.0, 0.0)],
                                   "item_id bigint, embedding array<double>, pop double, pen double")
