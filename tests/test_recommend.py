@@ -163,6 +163,25 @@ def test_hybrid_ignores_unknown_likes_and_leaves_out_seen(spark):
     assert cold == [(1, 5), (2, 4)]
 
 
+def test_cold_start_shuffles_exclusions_of_high_ranks_only(spark, monkeypatch):
+    items = scored(spark, [(i, f"t{i}", float(400 - i), 50) for i in range(400)])
+    banned = [(u, i) for u in range(20) for i in (u, 399 - u, 200 + u)]
+    stored, cut = [], rc.cut
+
+    def counted(df):
+        out = cut(df)
+        stored.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(rc, "cut", counted)
+    lists = rc.recommend_cold_start(spark.range(20).withColumnRenamed("id", "user_id"), items, 2, spark.createDataFrame(
+        banned, "user_id long, item_id long")).collect()
+    assert {(r["user_id"], r["rank"], r["item_id"]) for r in lists} == {
+        (u, n + 1, i) for u in range(20) for n, i in enumerate([i for i in range(3) if i != u][:2])}
+    # Three exclusions a user: only the first 2 + 3 - 1 items can matter.
+    assert [n for columns, n in stored if columns == ["item_id", "global_rank"]] == [4]
+
+
 @pytest.mark.parametrize("k", [1, 3, 8])
 def test_cold_start_with_exclusions(spark, k):
     pop = {i: float(RNG.integers(0, 6)) for i in range(60)}
