@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.session import run_folder
+from shelfmark.session import run_folder, shuffles_dropped
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -19,5 +19,6 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """
     folder = new_folder(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(by) if by else writer).parquet(folder)
+    with shuffles_dropped(df.sparkSession):
+        (writer.partitionBy(by) if by else writer).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -1,9 +1,12 @@
 """Top-k, recommendation and re-ranking against plain loops."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import session
 from shelfmark.operators import embedding as em, nearest as nn, recommend as rc, rerank as rr
 
 RNG = np.random.default_rng(7)
@@ -125,6 +128,72 @@ def test_means_and_embeddings_without_sorting_rows(spark):
         assert r["embedding"] == pytest.approx(own, abs=1e-12)
 
 
+def test_a_round_sends_a_query_to_few_groups(spark, monkeypatch):
+    """However many groups there are, the copies of a query on their way at a time are few."""
+    for name, value in (("ITEM_BLOCK", 8), ("QUERY_CHUNK", 8), ("ROUND_VISITS", 3), ("ROUND_BYTES", 1)):
+        monkeypatch.setattr(nn, name, value, raising=False)
+    rng = np.random.default_rng(8)
+    items = [(i, rng.normal(size=5).tolist(), 0.0, 0.0) for i in range(160)]
+    queries = [(i, v, 1.0, 0.0, 0.0) for i, v, _, _ in items[:30]]
+    most, score = [], nn._score
+
+    def counted(visits, *rest):
+        most.append(max((len(r["grps"]) for r in visits.select("grps").collect()), default=0))
+        return score(visits, *rest)
+
+    monkeypatch.setattr(nn, "_score", counted)
+    got = nn.weighted_topk(
+        spark.createDataFrame(queries, "query_id long, vec array<double>, alpha double, beta double, gamma double"),
+        spark.createDataFrame(items, "item_id long, embedding array<double>, pop double, pen double"), 4,
+        spark.createDataFrame([(i, i) for i, *_ in queries] * 2, "query_id long, item_id long"), 40)
+    rows = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        rows.setdefault(r["query_id"], []).append(r["item_id"])
+    expected = brute_topk(queries, items, {(i, i) for i, *_ in queries}, 4)
+    assert rows == {q: [i for i, _ in v] for q, v in expected.items()}
+    assert len(most) > 2 and max(most) <= 3   # of 20 groups
+
+
+def test_profiles_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    vectors = {i: rng.normal(size=3) for i in range(4)}
+    likes = [(None if u == 5 else u, int(i)) for u in range(20) for i in rng.integers(0, 5, 4)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "item_id long, embedding array<double>")
+    monkeypatch.setattr(rc, "ROUND_LIKES", 1, raising=False)
+    sent, mean_by = [], rc.mean_by
+
+    def counted(rows, *rest):
+        sent.append(rows.count())
+        return mean_by(rows, *rest)
+
+    monkeypatch.setattr(rc, "mean_by", counted)
+    rows = {r["user_id"]: r["vec"] for r in rc.user_profiles(
+        spark.createDataFrame(likes, "user_id long, item_id long"), table).collect()}
+    means = {}
+    for user, item in likes:
+        if item in vectors:
+            means.setdefault(user, []).append(vectors[item])
+    assert set(rows) == set(means)
+    for user, own in means.items():
+        assert rows[user] == pytest.approx(np.mean(own, axis=0), abs=1e-12)
+    assert len(sent) == 10 and sum(sent) == sum(i in vectors for _, i in likes)
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    setting = spark.conf.get(session.CLEANUP)
+    names = lambda: {str(f) for f in files.getAllBlocks().mkString(" ").split() if str(f).startswith("shuffle_")}
+    before = names()
+    rows = session.cut(spark.range(50_000).groupBy((F.col("id") % 5_000).alias("k")).count())
+    for _ in range(50):
+        if not names() - before:
+            break
+        time.sleep(0.1)
+    assert not names() - before
+    assert rows.count() == 5_000
+    assert spark.conf.get(session.CLEANUP) == setting
+
+
 def test_topk_with_fewer_items_than_k(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0], 0.0, 0.0), (2, [0.0, 0.0], 0.0, 0.0)],
                                   "item_id bigint, embedding array<double>, pop double, pen double")
