@@ -5,8 +5,9 @@ representative with a count. A run starts with all representatives in one node;
 average 1 / 0.8 of ``HASHES`` MinHash coordinates at random and sends each set to one child per
 picked coordinate, named by the value there. Small nodes (``LEAF``) are compared all against all
 by sketch; large ones are split again, down to ``MAX_DEPTH``; what is still large there shares so
-many values that it counts as connected. Runs are repeated until a pair at similarity 0.8 has met
-with the target recall, given the depth that the data needed.
+many values that it counts as connected. A node of up to ``NODE_SETS`` is split inside one task, from one byte of
+each value, and gives one set of spanning edges; only larger ones are split by Spark, set by set. Runs are repeated
+until a pair at similarity 0.8 has met with the target recall, given the depth that the data needed.
 
 Sketch links only say which sets may be linked: their connected components are then verified by
 exact set intersection. A component too large for one task is cut into blocks, and each pair of
@@ -39,6 +40,7 @@ MIN_JACCARD = 0.8
 HASHES = 128
 LOOSE_SHARE = 0.65         # of sketch bytes that agree before a pair is verified
 LEAF = 128                 # sets that are compared all against all
+NODE_SETS = 32_768         # sets whose node is split inside one task (about 5 MB of marks)
 MAX_DEPTH = 4
 TARGET_RECALL = 0.9999
 BLOCK_SETS, BLOCK_SHINGLES = 768, 400_000
@@ -152,23 +154,88 @@ def _local_roots(linked: np.ndarray) -> np.ndarray:
         roots = new
 
 
-def _leaf_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of the sketch links in every leaf."""
+def _leaves(node: int, marks: np.ndarray, level: int, leaf: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Places and levels of the leaves below a node; ``marks``: a row of one byte per coordinate and set.
+
+    What is large at ``MAX_DEPTH`` is a leaf too. A split gives its level even if no child has two sets.
+    """
+    waiting = [(node, np.arange(len(marks)), level)]
+    while waiting:
+        name, places, level = waiting.pop()
+        if len(places) <= leaf or level == MAX_DEPTH:
+            yield places, level
+            continue
+        yield places[:0], level + 1
+        own = np.array([name], np.uint64)
+        for i in range(HASHES):
+            if not _picked(own, i)[0]:
+                continue
+            value = marks[places, i]
+            order = np.argsort(value, kind="stable")
+            cuts = np.flatnonzero(np.diff(value[order])) + 1
+            for part in np.split(order, cuts):
+                if len(part) > 1:
+                    child = _name(own, i, value[part[:1]])[0]
+                    waiting.append((child, places[part], level + 1))
+
+
+def _node_edges(level: int, leaf: int):
+    """Spanning edges of the sketch links in every node of a level, and the deepest level that was needed.
+
+    The first row of a batch tells only that: its edge leads to itself.
+    """
     need = math.ceil(LOOSE_SHARE * HASHES)
-    for batch in batches:
-        a, b = [], []
-        for members in batch.column("members"):
-            rows = members.values.field("row").to_numpy()
-            marks = np.frombuffer(b"".join(members.values.field("marks").to_pylist()),
-                                  np.uint8).reshape(len(rows), HASHES)
-            linked = np.stack([(marks == m).sum(1) >= need for m in marks])
-            roots = _local_roots(linked)
-            other = np.flatnonzero(roots != np.arange(len(rows)))
-            a.append(rows[other])
-            b.append(rows[roots[other]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(a) if a else np.zeros(0, np.int64)),
-             pa.array(np.concatenate(b) if b else np.zeros(0, np.int64))], ["a", "b"])
+
+    def link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, deepest = [], [], level
+            nodes = batch.column("node").to_numpy().view(np.uint64)
+            for node, members in zip(nodes, batch.column("members")):
+                rows = members.values.field("row").to_numpy()
+                marks = np.frombuffer(b"".join(members.values.field("marks").to_pylist()),
+                                      np.uint8).reshape(len(rows), HASHES)
+                order = np.argsort(rows)
+                rows, marks = rows[order], marks[order]
+                roots = np.arange(len(rows))
+                for places, depth in _leaves(node, marks, level, leaf):
+                    deepest = max(deepest, depth)
+                    if len(places) < 2:
+                        continue
+                    if len(places) <= leaf:
+                        part = marks[places]
+                        linked = np.stack([(part == m).sum(1) >= need for m in part])
+                        low = _local_roots(linked)
+                    else:
+                        low = np.zeros(len(places), int)
+                    other = np.flatnonzero(low != np.arange(len(places)))
+                    _unite(roots, places[other], places[low[other]])
+                roots = _flat(roots)
+                other = np.flatnonzero(roots != np.arange(len(rows)))
+                a += [rows[other]] if a else [rows[:1], rows[other]]
+                b += [rows[roots[other]]] if b else [rows[:1], rows[roots[other]]]
+            if a:
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(np.full(len(a), deepest, np.int32))], ["a", "b", "depth"])
+    return link
+
+
+def _unite(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the components of each pair; a root is never above its members."""
+    for x, y in zip(a.tolist(), b.tolist()):
+        while roots[x] != x:
+            roots[x] = x = roots[roots[x]]
+        while roots[y] != y:
+            roots[y] = y = roots[roots[y]]
+        roots[max(x, y)] = min(x, y)
+
+
+def _flat(roots: np.ndarray) -> np.ndarray:
+    while True:
+        new = roots[roots]
+        if (new == roots).all():
+            return roots
+        roots = new
 
 
 def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +257,14 @@ def loose_edges(reps: DataFrame, target: float = TARGET_RECALL) -> DataFrame:
         for level in range(1, MAX_DEPTH + 1):
             sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
             held = stored(nodes.join(sizes, "node"), "nodes")
-            leaves = held.where(F.col("size") <= LEAF).join(marks, "row").groupBy("node").agg(
+            most = LEAF if level == MAX_DEPTH else NODE_SETS
+            leaves = held.where(F.col("size") <= most).join(marks, "row").groupBy("node").agg(
                 F.collect_list(F.struct("row", "marks")).alias("members"))
-            out.append(leaves.select("members").mapInArrow(_leaf_edges, "a long, b long"))
-            large = held.where(F.col("size") > LEAF)
+            found = stored(leaves.select("node", "members").mapInArrow(
+                _node_edges(level, LEAF), "a long, b long, depth int"), "edges")
+            depth = max(depth, found.agg(F.max("depth")).first()[0] or 1)
+            out.append(found.where("a <> b").select("a", "b"))
+            large = held.where(F.col("size") > most)
             if large.isEmpty():
                 break
             depth = max(depth, min(level + 1, MAX_DEPTH))

@@ -567,6 +567,33 @@ def test_jaccard_join(spark, docs, sizes, monkeypatch):
         assert kept.count() == len({frozenset(s) for s in _classes(links)}) and roots
 
 
+def test_large_nodes_are_split_inside_a_task(spark, monkeypatch):
+    """Texts with one passage in common fill large nodes; their sets are not written once per node and level."""
+    def refused(batches):
+        for batch in batches:
+            if batch.num_rows:
+                raise RuntimeError("sets of a node that fits a task were sent on")
+            yield batch
+
+    monkeypatch.setattr(jaccard_join, "_next_level", refused)
+    passage = " ".join(f"common{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(f"own{i // 2}x{j}" for j in range(40)) + f" end{i}" for i in range(500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(rows).collect()}
+    assert got == {i: (i // 2 * 2, 1) for i in range(500)}
+
+
+@pytest.mark.parametrize("limit", [8, 1000])
+def test_nodes_split_by_spark_or_in_a_task_give_the_same_classes(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "LEAF", 4)
+    monkeypatch.setattr(jaccard_join, "NODE_SETS", limit, raising=False)
+    passage = " ".join(f"common{i}" for i in range(40))
+    texts = [f"{passage} " + " ".join(f"own{i // 3}x{j}" for j in range(80)) + f" end{i}" for i in range(90)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(rows).collect()}
+    assert got == {i: (i // 3 * 3, 2) for i in range(90)}
+
+
 def _classes(links):
     left = set(range(len(links)))
     while left:
