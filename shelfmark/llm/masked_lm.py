@@ -39,8 +39,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from shelfmark.llm.storage import stored
+from shelfmark.llm.storage import new_folder, stored
 from shelfmark.llm.textbatch import chunks, per_text
+from shelfmark.session import scratch_scope
 
 OWN = 4                    # times sqrt(V): classes of one frequent word
 LEAST_CLASSES = 32         # of either sort
@@ -155,17 +156,21 @@ def encoded(source: DataFrame) -> tuple[DataFrame, int]:
     """(doc_id, n, share, classes, slice) of every document, and the number of classes."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = source.schema["doc_id"].dataType
-    texts = stored(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _dealt, f"block long, doc_id {kind.simpleString()}, text string"), "texts")
-    words = stored(texts.select("block", "text").mapInArrow(
-        _counted, "block long, word binary, n long"), "words")
-    table, classes = vocabulary(words)
-    named = words.select("block", "word").join(table, "word")
-    out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(
-        _encoded(to_arrow_type(kind)),
-        f"doc_id {kind.simpleString()}, n long, share double, classes binary, slice int")
-    return stored(out, "encoded", by="slice"), classes
+    spark, kind = source.sparkSession, source.schema["doc_id"].dataType
+    folder = new_folder(spark, "encoded")
+    with scratch_scope(spark):   # texts and words are not needed once the texts are encoded
+        texts = stored(source.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+            _dealt, f"block long, doc_id {kind.simpleString()}, text string"), "texts")
+        named_at = new_folder(spark, "named")
+        with scratch_scope(spark):   # nor are their counts once the words of each block have their classes
+            words = stored(texts.select("block", "text").mapInArrow(
+                _counted, "block long, word binary, n long"), "words")
+            table, classes = vocabulary(words)
+            named = stored(words.select("block", "word").join(table, "word"), "named", folder=named_at)
+        out = texts.groupBy("block").cogroup(named.groupBy("block")).applyInArrow(
+            _encoded(to_arrow_type(kind)),
+            f"doc_id {kind.simpleString()}, n long, share double, classes binary, slice int")
+        return stored(out, "encoded", by="slice", folder=folder), classes
 
 
 def _tokens(batch: pa.RecordBatch, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -12,12 +12,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return run_folder(spark, name)
 
 
-def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None, folder: str | None = None) -> DataFrame:
     """``df`` written as a table and read again: what follows starts from files, not from lineage.
 
     ``by``: the last column, of few values; each value gets a folder, so that a filter on it reads only that.
+    ``folder``: an unused one, to keep the table longer than the current scratch scope.
     """
-    folder = new_folder(df.sparkSession, name)
+    folder = folder or new_folder(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     with shuffles_dropped(df.sparkSession):
         (writer.partitionBy(by) if by else writer).parquet(folder)

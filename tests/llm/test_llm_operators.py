@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import session
 from shelfmark.llm import (
     bpe, components, decontaminate, jaccard_join, masked_lm, pii, quality, repeats, secret_scan,
     substring_dedup, suffix_dedup, warc)
@@ -360,6 +361,24 @@ def test_masked_lm_counts_words_of_a_block_once():
     assert got == want
 
 
+def test_masked_lm_keeps_only_the_encoded_texts(spark, docs, monkeypatch):
+    """The words' classes are stored before they meet the texts, and nothing but the encoded texts stays."""
+    names, stored = [], masked_lm.stored
+
+    def told(df, name, **more):
+        names.append(name)
+        return stored(df, name, **more)
+
+    monkeypatch.setattr(masked_lm, "stored", told)
+    with session.scratch_scope(spark) as folder:
+        encoded, _ = masked_lm.encoded(docs.select("doc_id", "text"))
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        left = [x.getPath().getName() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+        assert encoded.count() == docs.count()
+    assert "named" in names
+    assert [x.split("-")[0] for x in left] == ["encoded"]
+
+
 def test_masked_lm_averages_many_tasks(spark):
     # More tasks than one level averages; every text takes part once an epoch.
     rows = [(i, " ".join(["red", "green", "blue"] * 40)) for i in range(300)]
