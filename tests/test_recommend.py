@@ -1,6 +1,8 @@
 """Top-k, recommendation and re-ranking against plain loops."""
 
 import time
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import session
 from shelfmark.operators import embedding as em, nearest as nn, recommend as rc, rerank as rr
+from shelfmark.plans import features as pf
 
 RNG = np.random.default_rng(7)
 
@@ -155,6 +158,29 @@ def test_a_round_sends_a_query_to_few_groups(spark, monkeypatch):
     assert all(max(n) <= 3 or sum(n) <= 2 * (len(items) + len(queries)) for n in most)
 
 
+def test_vectors_of_queries_are_shuffled_once(spark):
+    """What a query must not get comes to the cells by itself: no join has the vectors of the queries in it."""
+    visits = spark.createDataFrame([(i, [1.0, float(i)], 1.0, 0.0, 0.0, None, [i % 2]) for i in range(6)],
+                                   "query_id long, vec array<double>, alpha double, beta double, gamma double, "
+                                   "floor double, grps array<int>")
+    blocks = spark.createDataFrame([(i, [float(i), 1.0], 0.0, 0.0, i % 2, 0) for i in range(8)],
+                                   "item_id long, embedding array<double>, pop double, pen double, grp int, salt int")
+    seen = nn._seen_by_block(spark.createDataFrame([(0, 0), (0, 2), (1, 3), (1, 2), (9, 1), (None, 0)],
+                                                   "query_id long, item_id long"), blocks)
+    scored = nn._score(visits, blocks, {0: 1, 1: 1}, seen, 4, 2)
+    found = {}
+    for r in scored.collect():
+        found.setdefault(r["query_id"], set()).add(r["item_id"])
+    assert found == {q: {i for i in range(8) if i % 2 == q % 2} - {0: {0, 2}, 1: {3}}.get(q, set()) for q in range(6)}
+
+    def joined(node):
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        below = [joined(node.children().apply(i)) for i in range(node.children().size())]
+        return (node.nodeName() == "Join" and "vec" in names) or any(below)
+
+    assert not joined(scored._jdf.queryExecution().optimizedPlan())
+
+
 def test_profiles_in_rounds(spark, monkeypatch):
     rng = np.random.default_rng(9)
     vectors = {i: rng.normal(size=3) for i in range(4)}
@@ -378,6 +404,19 @@ def check_leading(matrix, values, table, r):
     return got
 
 
+def test_a_content_model_leaves_no_copy_of_the_features(spark):
+    """Features are stored while they are numbered only: a row per item and feature is dropped once the sets are there."""
+    items = spark.createDataFrame([(i,) for i in range(6)], "item_id long")
+    tags = spark.createDataFrame([(i, f"t{i % 3}") for i in range(6)], "item_id long, tag_id string")
+    catalog = SimpleNamespace(items=items, item_tags=tags, tags=tags.select("tag_id").distinct(),
+                              item_platforms=spark.createDataFrame([(0, "x")], "item_id long, platform_id string"))
+    with session.scratch_scope(spark) as folder:
+        _, vectors = pf.build_content_model(catalog)
+        kept = [set(spark.read.parquet(str(at)).columns) for at in Path(folder).iterdir()]
+        assert vectors.count() == 6 and {"item_id", "embedding"} in kept
+        assert not [columns for columns in kept if {"item_id", "feature"} <= columns]
+
+
 def test_krylov_iteration_with_restarts(spark):
     probs = np.linspace(0.9, 0.05, 60)
     matrix = (RNG.random((400, 60)) < probs).astype(float)
