@@ -158,6 +158,50 @@ def test_a_round_sends_a_query_to_few_groups(spark, monkeypatch):
     assert all(max(n) <= 3 or sum(n) <= 2 * (len(items) + len(queries)) for n in most)
 
 
+def test_search_comes_in_slices_and_leaves_only_the_lists(spark, monkeypatch, tmp_path):
+    """Queries and groups come a few at a time, and of all that is stored for a search only its lists stay."""
+    for name, value in (("ITEM_BLOCK", 8), ("QUERY_CHUNK", 8), ("ROUND_BYTES", 1)):
+        monkeypatch.setattr(nn, name, value)
+    rng = np.random.default_rng(12)
+    items = [(i, rng.normal(size=5).tolist(), float(rng.random()), 0.0) for i in range(160)]
+    queries = [(None if i == 3 else i, rng.normal(size=5).tolist(), 0.6, 0.4, 0.0) for i in range(40)]
+    sent, score = [], nn._score
+
+    def counted(visits, *rest):
+        sent.append(visits.count())
+        return score(visits, *rest)
+
+    monkeypatch.setattr(nn, "_score", counted)
+    with session.scratch_scope(spark) as scope:
+        likes = spark.createDataFrame([(u, i % 160) for u in range(40) for i in (u, 3 * u)], "user_id long, item_id long")
+        table = spark.createDataFrame([(i, v) for i, v, *_ in items], "item_id long, embedding array<double>")
+        rated = scored(spark, [(i, f"t{i}", p, 50) for i, _, p, _ in items])
+        rc.recommend_hybrid(likes, rated, table, k=4, group_size=40).collect()
+        assert {f.name.split("-")[0] for f in Path(scope).iterdir()} == {"lists"}
+    assert sent and max(sent) <= 20   # half of the queries
+    got = nn.weighted_topk(
+        spark.createDataFrame(queries, "query_id long, vec array<double>, alpha double, beta double, gamma double"),
+        spark.createDataFrame(items, "item_id long, embedding array<double>, pop double, pen double"), 4, None, 40)
+    rows = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        rows.setdefault(r["query_id"], []).append(r["item_id"])
+    assert rows == {q: [i for i, _ in v] for q, v in brute_topk(queries, items, set(), 4).items()}
+
+
+def test_reranking_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    recs = spark.createDataFrame([(u, r + 1, int(i), float(1 - 0.1 * r)) for u in range(12)
+                                  for r, i in enumerate(rng.choice(30, 5, False))],
+                                 "user_id long, rank int, item_id long, final_score double")
+    table = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(1, 30)], "item_id long, embedding array<double>")
+    whole = sorted(map(tuple, rr.mmr_rerank(recs, table, 4, 0.5, "user_id").collect()))
+    monkeypatch.setattr(rr, "ROUND_ROWS", 1, raising=False)
+    stored = []
+    monkeypatch.setattr(rr, "cut_at", lambda df, at: stored.append(df.count()) or session.cut_at(df, at), raising=False)
+    assert sorted(map(tuple, rr.mmr_rerank(recs, table, 4, 0.5, "user_id").collect())) == whole
+    assert len(stored) == 3 and sum(stored) == 48   # 60 rows, 29 vectors at a time
+
+
 def test_vectors_of_queries_are_shuffled_once(spark):
     """What a query must not get comes to the cells by itself: no join has the vectors of the queries in it."""
     visits = spark.createDataFrame([(i, [1.0, float(i)], 1.0, 0.0, 0.0, None, [i % 2]) for i in range(6)],
