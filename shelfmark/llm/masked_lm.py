@@ -54,6 +54,8 @@ TASK_TOKENS = 500_000
 BLOCK_BYTES = 8 << 20      # of texts encoded together
 BATCH = 8192               # tokens per step
 ROWS = 1024                # of them scored at a time, which stay in the processor's cache
+SCORED = 1 << 16           # tokens scored together, so that few rows are many of a group of classes
+LEAST_SUM = 1e-15          # of exponentials that are taken as they are
 RATE = 0.3
 BLOCK = 8192               # parameters per row when tasks are averaged
 FAN = 64                   # rows averaged at a time
@@ -225,6 +227,19 @@ class Network:
         np.exp(scores, out=scores)
         return scores.sum(1, keepdims=True)
 
+    def _shares(self, hidden: np.ndarray, weights: np.ndarray, base: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The share of the class ``own`` of every row."""
+        scores = hidden @ weights
+        scores += base
+        with np.errstate(over="ignore"):
+            np.exp(scores, out=scores)
+        total = scores @ np.ones((len(base), 1), scores.dtype)
+        if not (total.min() > LEAST_SUM and total.max() < 1 / LEAST_SUM):   # too far from 0 for single precision
+            scores = hidden @ weights
+            scores += base
+            total = self._exps(scores)
+        return scores[np.arange(len(own)), own] / total[:, 0]
+
     def _hidden(self, around: np.ndarray) -> np.ndarray:
         hidden = np.take(self.embed[0], around[:, 0], axis=0)
         for p in range(1, 2 * REACH):
@@ -241,20 +256,18 @@ class Network:
         cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
         for a, b in zip(cuts[:-1], cuts[1:]):
             g = int(group[a])
-            yield self.low[g], self.low_base[g], g, slice(a, b), leaf[a:b]
+            for at in range(a, b, BATCH):
+                rows = slice(at, min(at + BATCH, b))
+                yield self.low[g], self.low_base[g], g, rows, leaf[rows]
 
     def log_chance(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The logarithm of the chance of every target class between the classes around it."""
         out = np.empty(len(target))
-        for low in range(0, len(target), BATCH):
-            order = low + _order(target[low:low + BATCH], self.embed.shape[1])
+        for low in range(0, len(target), SCORED):
+            order = low + _order(target[low:low + SCORED], self.embed.shape[1])
             hidden, chance = self._hidden(np.take(around, order, axis=0)), np.zeros(len(order))
             for weights, base, _, rows, own in self._parts(target[order]):
-                scores = hidden[rows] @ weights
-                scores += base
-                total = self._exps(scores)
-                chance[rows] += np.log(np.maximum(
-                    scores[np.arange(len(own)), own] / total[:, 0], 1e-30))
+                chance[rows] += np.log(np.maximum(self._shares(hidden[rows], weights, base, own), 1e-30))
             out[order] = chance
         return out
 

@@ -348,6 +348,36 @@ def test_masked_lm_network_against_plain_loops():
         assert flat[i] - moved.flat[i] == pytest.approx(slope, abs=0.02 + 0.02 * abs(slope))
 
 
+def test_masked_lm_scores_many_tokens_at_once(monkeypatch):
+    """The rows of a group of classes are scored together, not a few of each batch of the training; scores too far
+    from 0 for single precision are scaled by their row."""
+    rng, classes = np.random.default_rng(3), 400
+    own = rng.integers(1, classes, 40_000).astype(np.int32)
+    around = masked_lm._windows(own, np.array([0, len(own)]))
+    calls, parts = [], masked_lm.Network._parts
+
+    def counted(*args):
+        for part in parts(*args):
+            calls.append(1)
+            yield part
+
+    monkeypatch.setattr(masked_lm.Network, "_parts", counted)
+    net = masked_lm.Network(masked_lm.Network.start(classes), classes)
+    for far in (0.0, 300.0, -600.0):
+        net.top_base += far
+        net.low_base += far
+        calls.clear()
+        got = net.log_chance(around, own)
+        assert len(calls) <= 20 + 40     # groups, and the rows that the groups are told from
+        hidden = net._hidden(around[:50]).astype(float)
+        for i in range(50):
+            group, leaf = divmod(int(own[i]), net.width)
+            top = hidden[i] @ net.top + net.top_base
+            low = hidden[i] @ net.low[group] + net.low_base[group]
+            expected = sum(x[j] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, j in ((top, group), (low, leaf)))
+            assert got[i] == pytest.approx(expected, abs=1e-3)
+
+
 def test_masked_lm_counts_words_of_a_block_once():
     # Texts of more than one chunk of a megabyte in a block, an empty and a null one, a block of no words.
     texts = [prose(8, 300_000), "", None, prose(9, 300_000), " ", "w1 w1 b"]
