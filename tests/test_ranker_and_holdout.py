@@ -46,6 +46,40 @@ def test_gradient_equals_a_loop_over_pairs(spark):
     assert loss == pytest.approx(plain_loss) and gradient == pytest.approx(plain)
 
 
+def test_all_pairs_of_a_large_group_count(spark):
+    rng = np.random.default_rng(3)
+    rows, n_features = [], 40
+    for i in range(700):
+        group = "large" if i < 600 else "small" if i < 640 else "other large"
+        rows.append((group, None if i % 50 == 0 else i // 2, math.nan if i % 90 == 0 else float(rng.integers(0, 5)),
+                     np.flatnonzero(rng.random(n_features) < 0.3).tolist()))
+    buckets = rk.pair_buckets(spark.createDataFrame(
+        rows, "query_group string, item_id bigint, label double, idxs array<bigint>"), size=30)
+    assert buckets.where("buckets > 1").select("query_group").distinct().count() == 2
+    weights = rng.normal(size=n_features) * 2
+    x = np.array([np.isin(np.arange(n_features), r[3]).astype(float) for r in rows])
+    score, label = x @ weights, np.array([r[2] for r in rows])
+    group = np.array([r[0] for r in rows])
+    better = (label[:, None] > label[None, :]) & (group[:, None] == group[None, :])
+    gap = score[:, None] - score[None, :]
+    push = np.where(better, 1 / (1 + np.exp(gap)), 0)
+    loss, pairs, gradient = rk.pair_gradient(buckets, weights)
+    assert pairs == better.sum()
+    assert loss == pytest.approx(np.logaddexp(0, -gap)[better].sum(), rel=1e-12)
+    assert gradient == pytest.approx((push.sum(0) - push.sum(1)) @ x, rel=1e-11, abs=1e-9)
+
+
+def test_training_uses_the_pairs_across_buckets(spark, monkeypatch):
+    rows, losses = ranker_rows(spark, 400, ["all"]), []
+    for size in (1024, 20):                  # compared pair by pair, and as 20 buckets
+        buckets = rk.pair_buckets
+        monkeypatch.setattr(rk, "pair_buckets", lambda r: buckets(r, size))
+        losses.append(rk.train_pair_ranker(rows, 5, steps=5))
+        monkeypatch.undo()
+    assert losses[0].losses == pytest.approx(losses[1].losses, rel=1e-12)
+    assert losses[0].weights == pytest.approx(losses[1].weights, rel=1e-10)
+
+
 def test_ranker_learns_the_order_in_one_hot_group(spark):
     rows = ranker_rows(spark, 900, ["all"])
     model = rk.train_pair_ranker(rows, 5)
