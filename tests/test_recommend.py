@@ -131,6 +131,38 @@ def test_means_and_embeddings_without_sorting_rows(spark):
         assert r["embedding"] == pytest.approx(own, abs=1e-12)
 
 
+def test_cells_score_only_blocks_that_can_reach_the_floor(spark, monkeypatch):
+    """Inside a cell blocks of items are left out by their bounds, and settings of a user share what it has seen."""
+    monkeypatch.setattr(nn, "CELL_BLOCK", 16, raising=False)
+    rng = np.random.default_rng(21)
+    items = [(i, (np.zeros(6) if i % 31 == 0 else 1 + 0.3 * rng.normal(size=6)).tolist(),
+              float("nan") if i % 47 == 0 else float(rng.random() ** 3), float(rng.random())) for i in range(600)]
+    weights = [(0.5, 0.4, 0.1), (0.1, 0.9, 0.0), (1.0, 0.0, 0.0)]
+    vecs = [(np.zeros(6) if u == 5 else 1 + 0.2 * rng.normal(size=6)).tolist() for u in range(12)]
+    queries = [(f"{s}:{u}", f"0:{u}", v, *w) for s, w in enumerate(weights) for u, v in enumerate(vecs)]
+    seen = {(u, int(i)) for u in range(0, 12, 2) for i in rng.integers(0, 600, 90)}
+    sizes, blocks = [], nn._seen_by_block
+
+    def counted(found, index):
+        sizes.append(found.count())
+        return blocks(found, index)
+
+    monkeypatch.setattr(nn, "_seen_by_block", counted)
+    got = nn.weighted_topk(
+        spark.createDataFrame(queries, "query_id string, owner string, vec array<double>, alpha double, "
+                                       "beta double, gamma double"),
+        spark.createDataFrame(items, "item_id bigint, embedding array<double>, pop double, pen double"),
+        7, spark.createDataFrame([(f"0:{u}", i) for u, i in seen], "owner string, item_id bigint"), 150)
+    known = [x for x in items if x[2] == x[2]]
+    expected = brute_topk([(q, *rest) for q, _, *rest in queries], known,
+                          {(f"{s}:{u}", i) for s in range(3) for u, i in seen}, 7)
+    rows = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        rows.setdefault(r["query_id"], []).append(r["item_id"])
+    assert rows == {q: [i for i, _ in v] for q, v in expected.items()}
+    assert sizes == [len(seen)]   # not once per setting
+
+
 def test_a_round_sends_a_query_to_few_groups(spark, monkeypatch):
     """However many groups there are, what is on its way at a time is few copies of a query, or few rows."""
     for name, value in (("ITEM_BLOCK", 8), ("QUERY_CHUNK", 8), ("ROUND_VISITS", 3), ("ROUND_BYTES", 1)):
